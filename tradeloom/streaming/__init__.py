@@ -1,0 +1,5 @@
+"""Intentionally empty: every report is a batch over posted vouchers.
+
+No report reads a stream, keeps state or handles late data, so there is
+nothing to build here.
+"""
