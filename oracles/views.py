@@ -154,14 +154,14 @@ VIEWS: dict[str, str] = {
         SELECT 'U' || r_regionkey AS node_id, r_name || ' manager' AS node_name, 'UC' || r_regionkey AS node_code,
                r_name AS division, 'USER' AS node_type, CAST(NULL AS VARCHAR) AS parent_id, 1 AS status FROM region
         UNION ALL
-        SELECT 'T' || n_nationkey, n_name || ' area', 'TC' || n_nationkey, n_name, 'AREA', 'U' || n_regionkey,
+        SELECT 'T' || n_nationkey, n_name || ' area', 'AC' || n_regionkey, n_name, 'AREA', 'U' || n_regionkey,
                CASE WHEN n_nationkey IN (5, 11, 17, 23) THEN 0 ELSE 1 END FROM nation
         UNION ALL
         SELECT 'P' || s_suppkey, s_name, 'PC' || s_suppkey, 'FIELD', 'USER', 'T' || s_nationkey,
                CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END FROM supplier
         UNION ALL
         SELECT DISTINCT 'G' || c_nationkey || '-' || c_mktsegment, c_mktsegment || ' beat',
-               'GC' || c_nationkey || '-' || c_mktsegment, c_mktsegment, 'BEAT', 'T' || c_nationkey, 1 FROM customer""",
+               'GC-' || c_mktsegment, c_mktsegment, 'BEAT', 'T' || c_nationkey, 1 FROM customer""",
     "node_account": """
         SELECT 'PA' || c_custkey AS account_id, 'T' || c_nationkey AS node_id, 'N' || c_nationkey AS distributor_id
         FROM customer
@@ -186,27 +186,18 @@ VIEWS: dict[str, str] = {
 }
 
 
-def with_views(body: str, extra: dict[str, str] | None = None, recursive: bool = False) -> str:
-    """``body`` preceded by the views it mentions, directly or through others."""
+def with_views(body: str, extra: dict[str, str] | None = None) -> str:
+    """``body`` preceded by the views it reads from, directly or through others."""
     known = {**VIEWS, **(extra or {})}
-    order: list[str] = []
+    order: dict[str, None] = {}
 
     def visit(text: str) -> None:
-        for word in re.findall(r"[a-z_0-9]+", text):
-            if word in known and word not in order:
-                visit_once(word)
-
-    pending: set[str] = set()
-
-    def visit_once(name: str) -> None:
-        if name in pending:
-            return
-        pending.add(name)
-        visit(known[name])
-        order.append(name)
+        for name in re.findall(r"\b(?:FROM|JOIN)\s+([a-z_0-9]+)", text):
+            if name in known and name not in order and text is not known[name]:
+                visit(known[name])
+                order[name] = None
 
     visit(body)
     if not order:
         return body
-    head = "WITH RECURSIVE " if recursive else "WITH "
-    return head + ",\n".join(f"{name} AS ({known[name]})" for name in order) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(f"{name} AS ({known[name]})" for name in order) + "\n" + body

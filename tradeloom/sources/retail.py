@@ -271,14 +271,14 @@ def retail_model(spark: SparkSession, folder: str) -> Model:
                    node_name="concat(r_name, ' manager')", node_code="concat('UC', r_regionkey)",
                    division="r_name", node_type="'USER'", status="1"),
             _shape(source("nation"), "sales_node", node_id="concat('T', n_nationkey)",
-                   node_name="concat(n_name, ' area')", node_code="concat('TC', n_nationkey)",
+                   node_name="concat(n_name, ' area')", node_code="concat('AC', n_regionkey)",
                    division="n_name", node_type="'AREA'", parent_id="concat('U', n_regionkey)",
                    status="CASE WHEN n_nationkey IN (5, 11, 17, 23) THEN 0 ELSE 1 END"),
             _shape(source("supplier"), "sales_node", node_id="concat('P', s_suppkey)", node_name="s_name",
                    node_code="concat('PC', s_suppkey)", division="'FIELD'", node_type="'USER'",
                    parent_id="concat('T', s_nationkey)", status="CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END"),
             _shape(beats, "sales_node", node_id="concat('G', c_nationkey, '-', c_mktsegment)",
-                   node_name="concat(c_mktsegment, ' beat')", node_code="concat('GC', c_nationkey, '-', c_mktsegment)",
+                   node_name="concat(c_mktsegment, ' beat')", node_code="concat('GC-', c_mktsegment)",
                    division="c_mktsegment", node_type="'BEAT'", parent_id="concat('T', c_nationkey)", status="1"),
         )
 
