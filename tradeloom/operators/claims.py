@@ -56,13 +56,11 @@ def claimed_goods(model: Model, request: ClaimRequest, claims: DataFrame) -> Dat
 
     Only batches with a price count.
     """
-    lines = (
-        model.sales_line.select("voucher_no", "product_id", "batch", "qty_out", "alt_out")
-        .join(piece_rates(model), ["product_id", "batch"])
-        .join(supplied_products(model, request.acid), "product_id")
-    )
+    lines = model.sales_line.select("voucher_no", "product_id", "batch", "qty_out", "alt_out")
     return (
         claims.join(lines, "voucher_no")
+        .join(piece_rates(model), ["product_id", "batch"])
+        .join(supplied_products(model, request.acid), "product_id")
         .groupBy(*CLAIM_KEYS, "product_id", "exact_rate", "rate")
         .agg(_total("qty_out", "given"), _total("alt_out", "given_cases"))
     )
@@ -72,21 +70,28 @@ def _total(column: str, alias: str) -> Column:
     return F.sum(F.col(column) * F.col("supplies")).cast(QUANTITY).alias(alias)
 
 
-def sales_by_bill(model: Model, request: ClaimRequest, *extra_keys: str) -> DataFrame:
-    """Pieces and cases sold per bill and product; claim bills are sales too."""
-    return _by_bill(
-        model, request, bills(model, request, SALE).select(F.col("voucher_no"), F.col("voucher_no").alias("bill"),
-                                                           *extra_keys),
-        ("qty_out", "sold"), ("alt_out", "sold_cases"), *extra_keys,
-    )
+def sales_by_bill(
+    model: Model, request: ClaimRequest, *extra_keys: str, named_by: DataFrame | None = None
+) -> DataFrame:
+    """Pieces and cases sold per bill and product; claim bills are sales too.
 
+    ``named_by`` limits the bills to those its ``ref_no`` names.
+    """
+    headers = bills(model, request, SALE).select(F.col("voucher_no"), F.col("voucher_no").alias("bill"), *extra_keys)
+    if named_by is not None:
+        headers = headers.join(named_by.select(F.col("ref_no").alias("bill")).distinct(), "bill", "left_semi")
+    return _by_bill(model, request, headers, ("qty_out", "sold"), ("alt_out", "sold_cases"), *extra_keys)
 
-def returns_by_bill(model: Model, request: ClaimRequest) -> DataFrame:
-    """Pieces and cases returned per referenced bill and product."""
-    return _by_bill(
-        model, request, bills(model, request, CREDIT_NOTE).select("voucher_no", F.col("ref_no").alias("bill")),
-        ("qty_in", "returned"), ("alt_in", "returned_cases"),
-    )
+
+def returns_by_bill(model: Model, request: ClaimRequest, named_by: DataFrame | None = None) -> DataFrame:
+    """Pieces and cases returned per referenced bill and product.
+
+    ``named_by`` limits the bills to its ``voucher_no``.
+    """
+    headers = bills(model, request, CREDIT_NOTE).select("voucher_no", F.col("ref_no").alias("bill"))
+    if named_by is not None:
+        headers = headers.join(named_by.select(F.col("voucher_no").alias("bill")).distinct(), "bill", "left_semi")
+    return _by_bill(model, request, headers, ("qty_in", "returned"), ("alt_in", "returned_cases"))
 
 
 def _by_bill(model, request, headers, pieces, cases, *extra_keys: str) -> DataFrame:
@@ -113,38 +118,56 @@ def at_rate(pieces: Column) -> Column:
     return pieces * F.col("rate").cast("decimal(18,4)")
 
 
-def claim_rows(model: Model, request: ClaimRequest, by_company: bool = True) -> DataFrame:
-    """Claims full-joined with the sales they refer to, not yet summed.
+def net_claims(model: Model, request: ClaimRequest, headers: DataFrame, by_company: bool) -> DataFrame:
+    """Claims net of returns, summed per referenced bill, product and type.
 
-    Claims are summed per referenced bill first, with ``claims`` counting them,
-    so a bill many claims refer to is one row in the join; its cases still count
-    once per claim.
+    ``claims`` counts them.  A bill many claims refer to becomes one row per
+    company and type, whatever is joined to it next.
     """
-    returned = returns_by_bill(model, request)
     owner = ["distributor_id"] if by_company else []
-    goods = claimed_goods(model, request, claim_bills(model, request)).withColumnRenamed("voucher_no", "bill")
+    goods = claimed_goods(model, request, headers).withColumnRenamed("voucher_no", "bill")
     if by_company:
         # A company that is not listed counts as unknown.
         listed = model.distributor.select("distributor_id", F.col("distributor_id").alias("listed"))
         goods = goods.join(listed, "distributor_id", "left").drop("distributor_id").withColumnRenamed(
             "listed", "distributor_id"
         )
+    returned = returns_by_bill(model, request, named_by=headers).select("bill", "product_id", "returned")
     pieces = net_of("given", "returned")
-    claims = (
-        goods.join(returned.select("bill", "product_id", "returned"), ["bill", "product_id"], "left")
+    return (
+        goods.join(returned, ["bill", "product_id"], "left")
         .select("ref_no", "product_id", "claim_type", *owner, pieces.alias("pieces"),
                 grossed_up(at_rate(pieces), F.col("claim_type")).alias("amount"))
         .groupBy("ref_no", "product_id", "claim_type", *owner)
         .agg(F.sum("amount").alias("amount"), F.sum("pieces").alias("pieces"), F.count("*").alias("claims"))
     )
+
+
+def claim_rows(
+    model: Model, request: ClaimRequest, by_company: bool = True, types: Sequence[str] | None = None
+) -> DataFrame:
+    """Claims joined with the sales they refer to, not yet summed.
+
+    All types together are full-joined, so sales no claim refers to stay, without
+    a type.  A report on some ``types`` drops those sales, hence it needs only
+    the sales its claims name; and none at all without companies, since a bill
+    then has one row per product, which can neither add nor repeat an amount.
+    """
+    headers = claim_bills(model, request, types or CLAIM_TYPES)
+    claims = net_claims(model, request, headers, by_company)
+    if types and not by_company:
+        return claims.select("product_id", "claim_type", "amount")
+    owner = ["distributor_id"] if by_company else []
     sales = (
-        sales_by_bill(model, request, *owner)
-        .join(returned.select("bill", "product_id", "returned_cases"), ["bill", "product_id"], "left")
+        sales_by_bill(model, request, *owner, named_by=headers if types else None)
+        .join(returns_by_bill(model, request).select("bill", "product_id", "returned_cases"),
+              ["bill", "product_id"], "left")
         .select("bill", F.col("product_id").alias("sold_product"),
                 *[F.col(c).alias("sold_by") for c in owner], net_of("sold_cases", "returned_cases").alias("cases"))
     )
     joined = claims.join(
-        sales, (F.col("ref_no") == F.col("bill")) & (F.col("product_id") == F.col("sold_product")), "full"
+        sales, (F.col("ref_no") == F.col("bill")) & (F.col("product_id") == F.col("sold_product")),
+        "left" if types else "full",
     )
     return joined.select(
         F.coalesce("product_id", "sold_product").alias("product_id"),

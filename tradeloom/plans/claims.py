@@ -63,7 +63,7 @@ def _sum_of(types: tuple[str, ...]) -> Column:
 
 def _amounts(rows: DataFrame, keys: list[str], shown: tuple[str, ...], added: tuple[str, ...]) -> DataFrame:
     """Amounts by type and their total; groups whose total is 0 or unknown are dropped."""
-    wide = pivot_amounts(rows.filter(F.col("claim_type").isin(*added)), keys, added)
+    wide = pivot_amounts(rows, keys, added)
     return wide.withColumn("total", _sum_of(added)).filter(F.col("total") != 0).select(
         *keys, *[F.col(t.lower()).cast(MONEY).alias(t.lower()) for t in shown], F.col("total").cast(MONEY)
     )
@@ -92,18 +92,20 @@ BREAKAGE_COLUMNS = ("sales_cs", "approved_budget", "breakage_pcs", "breakage_amo
 
 def claim_summary(model: Model, request: ClaimRequest) -> Report:
     """Detail by product and distributor, and the grand total."""
-    rows = claim_rows(model, request)
     kind = ClaimKind.of(request.claimtype)
     keys = ["product_id", "distributor_id"]
     names = (*DISTRIBUTOR_COLUMNS, "product_code", "product_name")
     label = F.lit("Total").alias("product_name")
     if kind is ClaimKind.BREAKAGE:
+        rows = claim_rows(model, request)
         detail = _named(_breakage(rows, keys), model, True).select(*names, *BREAKAGE_COLUMNS)
         total = _breakage(rows, []).select(label, *BREAKAGE_COLUMNS)
     else:
         layout = LAYOUTS[kind]
         shown = [t.lower() for t in layout.types]
+        rows = claim_rows(model, request, types=layout.types)
         detail = _named(_amounts(rows, keys, layout.types, layout.types), model, True).select(*names, *shown, "total")
+        rows = claim_rows(model, request, types=layout.total_types)
         total = _amounts(rows, [], layout.types, layout.total_types).select(label, *shown, "total")
     return Report(REPORT_NAME, as_on(request.date1, request.date2), {"detail": detail, "total": total})
 
@@ -126,14 +128,15 @@ def claim_print(model: Model, request: ClaimRequest) -> DataFrame:
 
     ``fflg`` is the line style; rows come sorted by section.
     """
-    rows = claim_rows(model, request, by_company=False)
     kind = ClaimKind.of(request.claimtype)
     if kind is ClaimKind.BREAKAGE:
+        rows = claim_rows(model, request, by_company=False)
         detail = _named(_breakage(rows, ["product_id"]), model, False).select("product_name", *BREAKAGE_COLUMNS)
         total = _breakage(rows, []).select(F.lit("Total").alias("product_name"), *BREAKAGE_COLUMNS)
         sections = [_section(detail, 1, PLAIN), _section(_spacer(detail), 2, PLAIN), _section(total, 3, BOLD)]
     else:
         layout = LAYOUTS[kind]
+        rows = claim_rows(model, request, by_company=False, types=layout.types)
         amounts = [*[t.lower() for t in layout.types], "total"]
 
         def scaled(factor) -> list[Column]:

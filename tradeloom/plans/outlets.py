@@ -27,12 +27,11 @@ def sales_by_outlet(model: Model, request: OutletRequest) -> DataFrame:
         ),
         "distributor_id", request.companyid,
     ).select("voucher_no", "distributor_id", "party_id", (F.col("voucher_type") == CREDIT_NOTE).alias("is_return"))
-    lines = model.sales_line.select(
-        "voucher_no", "product_id", sold_pieces().alias("pieces"), "net_amount"
-    ).join(case_factors(model), "product_id", "left")
+    lines = model.sales_line.select("voucher_no", "product_id", sold_pieces().alias("pieces"), "net_amount")
     signed = F.when(F.col("is_return"), -F.col("net_amount")).otherwise(F.col("net_amount"))
     by_bill = (
         vouchers.join(lines, "voucher_no")
+        .join(case_factors(model), "product_id", "left")
         .groupBy("distributor_id", "party_id", "voucher_no", "factor")
         .agg(F.max((~F.col("is_return")).cast("int")).alias("bill"),
              F.sum("pieces").cast(PIECES).alias("pieces"), F.sum(signed).alias("amount"))

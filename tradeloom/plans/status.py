@@ -41,10 +41,12 @@ def overall_status(model: Model, scope: DashboardScope) -> DataFrame:
     vouchers = scoped_vouchers(model.sales_voucher, model, scope, windows["qtd"].holds()).select(
         "voucher_no", "posted_on", "copies", F.coalesce("billed_to", "party_id").alias("account_id")
     )
-    lines = model.sales_line.select("voucher_no", "product_id", sold_pieces().alias("pieces")).join(
-        case_factors(model), "product_id", "left"
+    lines = model.sales_line.select("voucher_no", "product_id", sold_pieces().alias("pieces"))
+    sold = (
+        vouchers.join(lines, "voucher_no")
+        .join(case_factors(model), "product_id", "left")
+        .withColumn("pieces", counted(F.col("pieces"), scope))
     )
-    sold = vouchers.join(lines, "voucher_no").withColumn("pieces", counted(F.col("pieces"), scope))
     marks = [F.max(w.holds().cast("int")).alias(f"in_{name}") for name, w in windows.items()]
     things = sold.groupingSets(
         [["voucher_no"], ["product_id"], ["account_id", "factor"]],
@@ -112,15 +114,14 @@ def claim_sales(model: Model, scope: DashboardScope) -> DataFrame:
     vouchers = scoped_vouchers(model.sales_voucher, model, scope, windows["qtd"].holds()).select(
         "voucher_no", "posted_on", "voucher_type", "copies"
     )
-    lines = (
-        model.sales_line.select("voucher_no", "product_id", "batch", sold_pieces().alias("pieces"))
-        .join(batch_prices(model).drop("selling_price"), ["product_id", "batch"])
-        .join(case_factors(model), "product_id", "left")
-        .drop("product_id", "batch")
+    lines = model.sales_line.select("voucher_no", "product_id", "batch", sold_pieces().alias("pieces"))
+    prices = batch_prices(model).join(case_factors(model), "product_id", "left").select(
+        "product_id", "batch", "complementary_rate", "factor"
     )
     sold = (
         typed_vouchers(model, vouchers)
         .join(lines, "voucher_no")
+        .join(prices, ["product_id", "batch"])
         .withColumn("pieces", counted(F.col("pieces"), scope))
         .withColumn("value", F.col("pieces").cast("decimal(18,4)") * F.col("complementary_rate"))
     )

@@ -39,13 +39,12 @@ def top_parties(model: Model, scope: DashboardScope, mcode: str = ALL) -> DataFr
         "voucher_no", "posted_on", "copies", F.coalesce("billed_to", "party_id").alias("account_id")
     )
     products = model.product.select("product_id").join(case_factors(model), "product_id", "left")
-    lines = (
-        in_list(model.sales_line, "product_id", mcode)
-        .select("voucher_no", "product_id", sold_pieces().alias("pieces"))
-        .join(products, "product_id")
+    lines = in_list(model.sales_line, "product_id", mcode).select(
+        "voucher_no", "product_id", sold_pieces().alias("pieces")
     )
     by_party = (
         vouchers.join(lines, "voucher_no")
+        .join(products, "product_id")
         .withColumn("pieces", counted(F.col("pieces"), scope))
         .groupBy("account_id", "factor")
         .agg(*window_sums(windows))
