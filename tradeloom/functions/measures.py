@@ -1,8 +1,11 @@
 """Measures as column expressions.
 
-Pieces are summed exactly first and divided by the pieces-per-case factor once
-per group, so a quotient is rounded as few times as possible.  Decimal widths
-are chosen so that Spark keeps 12 decimals in every quotient.
+Quantities have four decimals and amounts two, so both are summed as whole
+numbers of their smallest unit: long sums are exact, several times faster than
+decimal ones, and raise an error rather than wrap around.  Pieces are divided
+by the pieces-per-case factor once per group, after summing, so a quotient is
+rounded as few times as possible.  Decimal widths are chosen so that Spark
+keeps 12 decimals in every quotient.
 """
 
 from __future__ import annotations
@@ -29,6 +32,24 @@ QUOTIENT = "decimal(38,12)"
 SETTLED = "decimal(38,6)"
 
 
+def units(pieces: Column) -> Column:
+    """A quantity in ten-thousandths of a piece."""
+    return (pieces * F.lit(10_000)).cast("bigint")
+
+
+def pieces(units: Column) -> Column:
+    """Ten-thousandths back in pieces."""
+    return (units.cast("decimal(20,0)") * F.lit(Decimal("0.0001"))).cast(PIECES)
+
+
+def cents(amount: Column) -> Column:
+    return (amount * F.lit(100)).cast("bigint")
+
+
+def money(cents: Column) -> Column:
+    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
+
+
 def zero() -> Column:
     return F.lit(Decimal("0.0000")).cast(FACTOR)
 
@@ -42,14 +63,14 @@ def pieces_per_case(factor: Column) -> Column:
     return F.when(has_factor(factor), factor).otherwise(F.lit(Decimal("1.0000")).cast(FACTOR))
 
 
-def cases(pieces: Column, factor: Column) -> Column:
-    """Pieces in cases; without a factor a piece counts as a case."""
-    return pieces.cast(PIECES) / pieces_per_case(factor)
+def cases(units: Column, factor: Column) -> Column:
+    """Summed units in cases; without a factor a piece counts as a case."""
+    return pieces(units) / pieces_per_case(factor)
 
 
-def cases_or_none(pieces: Column, factor: Column) -> Column:
-    """Pieces in cases; without a factor nothing is counted."""
-    return F.when(has_factor(factor), cases(pieces, factor)).otherwise(F.lit(0).cast(QUOTIENT))
+def cases_or_none(units: Column, factor: Column) -> Column:
+    """Summed units in cases; without a factor nothing is counted."""
+    return F.when(has_factor(factor), cases(units, factor)).otherwise(F.lit(0).cast(QUOTIENT))
 
 
 def piece_rate(case_rate: Column, factor: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.filters import between, in_list
-from tradeloom.functions.measures import grossed_up
+from tradeloom.functions.measures import RATE, cents, grossed_up, money, pieces, units
 from tradeloom.operators.facts import CREDIT_NOTE, HOME_CENTRE, SALE
 from tradeloom.operators.pricing import piece_rates, supplied_products
 from tradeloom.params import ClaimRequest
@@ -52,7 +52,7 @@ def claim_bills(
 
 
 def claimed_goods(model: Model, request: ClaimRequest, claims: DataFrame) -> DataFrame:
-    """Per claim bill, product and rate: pieces and cases given away.
+    """Per claim bill, product and rate: units and case units given away.
 
     Only batches with a price count.
     """
@@ -67,13 +67,13 @@ def claimed_goods(model: Model, request: ClaimRequest, claims: DataFrame) -> Dat
 
 
 def _total(column: str, alias: str) -> Column:
-    return F.sum(F.col(column) * F.col("supplies")).cast(QUANTITY).alias(alias)
+    return F.sum(units(F.col(column)) * F.col("supplies")).alias(alias)
 
 
 def sales_by_bill(
     model: Model, request: ClaimRequest, *extra_keys: str, named_by: DataFrame | None = None
 ) -> DataFrame:
-    """Pieces and cases sold per bill and product; claim bills are sales too.
+    """Units and case units sold per bill and product; claim bills are sales too.
 
     ``named_by`` limits the bills to those its ``ref_no`` names.
     """
@@ -83,8 +83,8 @@ def sales_by_bill(
     return _by_bill(model, request, headers, ("qty_out", "sold"), ("alt_out", "sold_cases"), *extra_keys)
 
 
-def returns_by_bill(model: Model, request: ClaimRequest, named_by: DataFrame | None = None) -> DataFrame:
-    """Pieces and cases returned per referenced bill and product.
+def returned_units(model: Model, request: ClaimRequest, named_by: DataFrame | None = None) -> DataFrame:
+    """Units and case units returned per referenced bill and product.
 
     ``named_by`` limits the bills to its ``voucher_no``.
     """
@@ -94,34 +94,47 @@ def returns_by_bill(model: Model, request: ClaimRequest, named_by: DataFrame | N
     return _by_bill(model, request, headers, ("qty_in", "returned"), ("alt_in", "returned_cases"))
 
 
-def _by_bill(model, request, headers, pieces, cases, *extra_keys: str) -> DataFrame:
-    keys = ["bill", "product_id", *extra_keys]
-    summed = (
-        headers.join(model.sales_line.select("voucher_no", "product_id", pieces[0], cases[0]), "voucher_no")
-        .groupBy(*keys)
-        .agg(F.sum(pieces[0]).alias(pieces[0]), F.sum(cases[0]).alias(cases[0]))
-    )
+def returns_by_bill(model: Model, request: ClaimRequest) -> DataFrame:
+    """Pieces and cases returned per referenced bill and product."""
+    return in_pieces(returned_units(model, request), "returned", "returned_cases")
+
+
+def in_pieces(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: pieces(F.col(c)).cast(QUANTITY) for c in columns})
+
+
+def _by_bill(
+    model: Model, request: ClaimRequest, headers: DataFrame, *measures_and_keys: tuple[str, str] | str
+) -> DataFrame:
+    measures = [m for m in measures_and_keys if not isinstance(m, str)]
+    keys = ["bill", "product_id", *[k for k in measures_and_keys if isinstance(k, str)]]
+    summed = sums_by_bill(model, headers, keys, measures)
     return summed.join(supplied_products(model, request.acid), "product_id").select(
-        *keys,
-        (F.col(pieces[0]) * F.col("supplies")).cast(QUANTITY).alias(pieces[1]),
-        (F.col(cases[0]) * F.col("supplies")).cast(QUANTITY).alias(cases[1]),
+        *keys, *[(F.col(name) * F.col("supplies")).alias(name) for _, name in measures]
     )
 
 
+def sums_by_bill(
+    model: Model, headers: DataFrame, keys: Sequence[str], measures: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """Line quantities summed in units; ``headers`` say which bill a voucher's lines count for."""
+    lines = model.sales_line.select("voucher_no", "product_id", *[units(F.col(c)).alias(n) for c, n in measures])
+    return headers.join(lines, "voucher_no").groupBy(*keys).agg(*[F.sum(n).alias(n) for _, n in measures])
+
+
 def net_of(column: str, returned: str) -> Column:
-    zero = F.lit(0).cast(QUANTITY)
-    return (F.coalesce(F.col(column), zero) - F.coalesce(F.col(returned), zero)).cast(QUANTITY)
+    return F.coalesce(F.col(column), F.lit(0)) - F.coalesce(F.col(returned), F.lit(0))
 
 
-def at_rate(pieces: Column) -> Column:
-    """Pieces at the complementary rate, exact to eight decimals."""
-    return pieces * F.col("rate").cast("decimal(18,4)")
+def at_rate(units: Column) -> Column:
+    """Units at the complementary rate, exact to eight decimals."""
+    return pieces(units).cast(QUANTITY) * F.col("rate").cast(QUANTITY)
 
 
 def net_claims(model: Model, request: ClaimRequest, headers: DataFrame, by_company: bool) -> DataFrame:
     """Claims net of returns, summed per referenced bill, product and type.
 
-    ``claims`` counts them.  A bill many claims refer to becomes one row per
+    ``claims`` counts them, ``amount`` is in cents.  A bill many claims refer to becomes one row per
     company and type, whatever is joined to it next.
     """
     owner = ["distributor_id"] if by_company else []
@@ -132,21 +145,21 @@ def net_claims(model: Model, request: ClaimRequest, headers: DataFrame, by_compa
         goods = goods.join(listed, "distributor_id", "left").drop("distributor_id").withColumnRenamed(
             "listed", "distributor_id"
         )
-    returned = returns_by_bill(model, request, named_by=headers).select("bill", "product_id", "returned")
-    pieces = net_of("given", "returned")
+    returned = returned_units(model, request, named_by=headers).select("bill", "product_id", "returned")
+    net = net_of("given", "returned")
     return (
         goods.join(returned, ["bill", "product_id"], "left")
-        .select("ref_no", "product_id", "claim_type", *owner, pieces.alias("pieces"),
-                grossed_up(at_rate(pieces), F.col("claim_type")).alias("amount"))
+        .select("ref_no", "product_id", "claim_type", *owner, net.alias("units"),
+                cents(grossed_up(at_rate(net), F.col("claim_type"))).alias("amount"))
         .groupBy("ref_no", "product_id", "claim_type", *owner)
-        .agg(F.sum("amount").alias("amount"), F.sum("pieces").alias("pieces"), F.count("*").alias("claims"))
+        .agg(F.sum("amount").alias("amount"), F.sum("units").alias("units"), F.count("*").alias("claims"))
     )
 
 
 def claim_rows(
     model: Model, request: ClaimRequest, by_company: bool = True, types: Sequence[str] | None = None
 ) -> DataFrame:
-    """Claims joined with the sales they refer to, not yet summed.
+    """Claims joined with the sales they refer to, not yet summed; in cents and units.
 
     All types together are full-joined, so sales no claim refers to stay, without
     a type.  A report on some ``types`` drops those sales, hence it needs only
@@ -160,10 +173,10 @@ def claim_rows(
     owner = ["distributor_id"] if by_company else []
     sales = (
         sales_by_bill(model, request, *owner, named_by=headers if types else None)
-        .join(returns_by_bill(model, request).select("bill", "product_id", "returned_cases"),
+        .join(returned_units(model, request).select("bill", "product_id", "returned_cases"),
               ["bill", "product_id"], "left")
         .select("bill", F.col("product_id").alias("sold_product"),
-                *[F.col(c).alias("sold_by") for c in owner], net_of("sold_cases", "returned_cases").alias("cases"))
+                *[F.col(c).alias("sold_by") for c in owner], net_of("sold_cases", "returned_cases").alias("case_units"))
     )
     joined = claims.join(
         sales, (F.col("ref_no") == F.col("bill")) & (F.col("product_id") == F.col("sold_product")),
@@ -174,8 +187,8 @@ def claim_rows(
         *[F.coalesce(c, F.col("sold_by")).alias(c) for c in owner],
         "claim_type",
         F.coalesce("amount", F.lit(0)).alias("amount"),
-        F.coalesce("pieces", F.lit(0)).alias("pieces"),
-        (F.coalesce("cases", F.lit(0).cast(QUANTITY)) * F.coalesce("claims", F.lit(1)).cast("int")).alias("cases"),
+        F.coalesce("units", F.lit(0)).alias("units"),
+        (F.coalesce("case_units", F.lit(0)) * F.coalesce("claims", F.lit(1))).alias("case_units"),
     )
 
 
@@ -185,9 +198,9 @@ def claims_vs_sales(model: Model, request: ClaimRequest) -> DataFrame:
     Sales no claim refers to have no claim type.
     """
     return claim_rows(model, request).groupBy("product_id", "distributor_id", "claim_type").agg(
-        F.sum("amount").cast("decimal(32,2)").alias("amount"),
-        F.sum("pieces").cast("decimal(32,4)").alias("pieces"),
-        F.sum("cases").cast("decimal(32,4)").alias("cases"),
+        money(F.sum("amount")).alias("amount"),
+        pieces(F.sum("units")).cast(RATE).alias("pieces"),
+        pieces(F.sum("case_units")).cast(RATE).alias("cases"),
     )
 
 
@@ -202,4 +215,4 @@ def pivot_amounts(rows: DataFrame, keys: Sequence[str], types: Sequence[str]) ->
 def claim_pivot(model: Model, request: ClaimRequest) -> DataFrame:
     """Product by claim type."""
     wide = pivot_amounts(claim_rows(model, request, by_company=False), ["product_id"], CLAIM_TYPES)
-    return wide.select("product_id", *[F.col(t.lower()).cast("decimal(32,2)").alias(t.lower()) for t in CLAIM_TYPES])
+    return wide.select("product_id", *[money(F.col(t.lower())).alias(t.lower()) for t in CLAIM_TYPES])

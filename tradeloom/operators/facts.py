@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.functions.measures import units
 from tradeloom.operators.calendar import Window
 from tradeloom.operators.hierarchy import distributors_in_scope
 from tradeloom.params import DashboardScope
@@ -32,23 +33,19 @@ def scoped_vouchers(vouchers: DataFrame, model: Model, scope: DashboardScope, wh
     return chosen.join(distributors_in_scope(model, scope), "distributor_id")
 
 
-def sold_pieces() -> Column:
-    return F.col("qty_out") - F.col("qty_in")
+def sold_units() -> Column:
+    return units(F.col("qty_out") - F.col("qty_in"))
 
 
-def bought_pieces() -> Column:
-    return F.col("qty_in") - F.col("qty_out")
+def bought_units() -> Column:
+    return units(F.col("qty_in") - F.col("qty_out"))
 
 
-def counted(pieces: Column, scope: DashboardScope) -> Column:
-    """Pieces times copies, where the scope can have copies."""
-    return pieces * F.col("copies") if scope.restricted else pieces
+def counted(df: DataFrame, scope: DashboardScope) -> DataFrame:
+    """``units`` times copies, where the scope can have copies."""
+    return df.withColumn("units", F.col("units") * F.col("copies")) if scope.restricted else df
 
 
-def pieces_in(window: Window, pieces: str = "pieces") -> Column:
-    """Sum of the pieces posted in a window."""
-    return F.sum(F.when(window.holds(), F.col(pieces)).otherwise(F.lit(0)))
-
-
-def window_sums(windows: dict[str, Window], pieces: str = "pieces") -> list[Column]:
-    return [pieces_in(w, pieces).alias(name) for name, w in windows.items()]
+def window_sums(windows: dict[str, Window]) -> list[Column]:
+    """Sum of the units posted in each window."""
+    return [F.sum(F.when(w.holds(), F.col("units")).otherwise(F.lit(0))).alias(n) for n, w in windows.items()]

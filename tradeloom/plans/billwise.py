@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.filters import between, in_list
-from tradeloom.functions.measures import MONEY, NET_RATE, RATE, TAX_RATE, UNTAXED_CLAIM, grossed_up, tax_on
-from tradeloom.operators.claims import QUANTITY, at_rate, bills, claim_bills, claimed_goods, net_of
+from tradeloom.functions.measures import MONEY, NET_RATE, RATE, TAX_RATE, UNTAXED_CLAIM, grossed_up, pieces, tax_on
+from tradeloom.operators.claims import at_rate, bills, claim_bills, claimed_goods, net_of, sums_by_bill
 from tradeloom.operators.facts import CREDIT_NOTE, SALE
 from tradeloom.params import ClaimRequest
 from tradeloom.report import Report, as_on
@@ -18,30 +18,24 @@ TYPE_ORDER = (("PP", 1), ("OP", 2), ("NEV", 3))
 OTHER_TYPES = 99
 
 
-def _sums(model: Model, headers: DataFrame, pieces: str, cases: str, names: tuple[str, str]) -> DataFrame:
-    return (
-        headers.join(model.sales_line.select("voucher_no", "product_id", pieces, cases), "voucher_no")
-        .groupBy("bill", "product_id")
-        .agg(F.sum(pieces).cast(QUANTITY).alias(names[0]), F.sum(cases).cast(QUANTITY).alias(names[1]))
-    )
-
-
 def sales_of_claimed_bills(model: Model, request: ClaimRequest, claimed: DataFrame) -> DataFrame:
-    """Pieces and cases per bill and product, for bills named in ``claimed.ref_no``."""
+    """Units and case units per bill and product, for bills named in ``claimed.ref_no``."""
     wanted = claimed.select(F.col("ref_no").alias("voucher_no")).distinct()
     headers = bills(model, request, SALE, home_only=False).join(wanted, "voucher_no", "left_semi").select(
         "voucher_no", F.col("voucher_no").alias("bill")
     )
-    return _sums(model, headers, "qty_out", "alt_out", ("sold", "sold_cases"))
+    return sums_by_bill(model, headers, ["bill", "product_id"], [("qty_out", "sold"), ("alt_out", "sold_cases")])
 
 
 def returns_of_claim_bills(model: Model, request: ClaimRequest, claimed: DataFrame) -> DataFrame:
-    """Pieces and cases returned per claim bill and product."""
+    """Units and case units returned per claim bill and product."""
     wanted = claimed.select(F.col("voucher_no").alias("bill")).distinct()
     headers = bills(model, request, CREDIT_NOTE, home_only=False).select(
         "voucher_no", F.col("ref_no").alias("bill")
     ).join(wanted, "bill", "left_semi")
-    return _sums(model, headers, "qty_in", "alt_in", ("returned", "returned_cases"))
+    return sums_by_bill(
+        model, headers, ["bill", "product_id"], [("qty_in", "returned"), ("alt_in", "returned_cases")]
+    )
 
 
 def claimed_goods_of_listed_types(model: Model, request: ClaimRequest) -> DataFrame:
@@ -60,7 +54,7 @@ def claim_billwise(model: Model, request: ClaimRequest) -> Report:
                                  F.col("account_name").alias("party_name"))
     listed = ", ".join(f"('{kind}', {place})" for kind, place in TYPE_ORDER)
     place = model.product.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS places(claim_type, place)")
-    pieces, cases = net_of("given", "returned"), net_of("given_cases", "returned_cases")
+    net = net_of("given", "returned")
     facts = (
         claimed_goods(model, request, claims)
         .join(found, "ref_no", "left")
@@ -70,32 +64,35 @@ def claim_billwise(model: Model, request: ClaimRequest) -> Report:
         .join(place, "claim_type", "left")
         .withColumns({
             "place": F.coalesce("place", F.lit(OTHER_TYPES)),
-            "pieces": pieces, "cases": cases,
-            "value": at_rate(pieces),
+            "units": net, "case_units": net_of("given_cases", "returned_cases"), "value": at_rate(net),
         })
         .join(party, "party_id", "left")
     )
     kind = F.col("claim_type")
+
+    def quantity(column: str) -> Column:
+        return pieces(F.col(column)).cast(RATE)
+
     detail = facts.join(model.product.select("product_id", "product_name"), "product_id").select(
         F.date_format("posted_on", "MM/dd/yyyy").alias("trn_date"),
         "nav_code", "nav_name", F.col("product_id").alias("product_code"), "product_name", "pan", "party_name",
-        "ref_bill_no", F.col("sold").cast(RATE).alias("qty"), F.col("sold_cases").cast(RATE).alias("qty_case"),
+        "ref_bill_no", quantity("sold").alias("qty"), quantity("sold_cases").alias("qty_case"),
         kind.alias("type"), F.col("voucher_no").alias("comp_ref_no"),
-        F.col("pieces").cast(RATE).alias("comp_qty"), F.col("cases").cast(RATE).alias("comp_qty_case"),
+        quantity("units").alias("comp_qty"), quantity("case_units").alias("comp_qty_case"),
         F.col("rate").alias("comp_rate"), F.col("value").cast(MONEY).alias("comp_amount"),
         tax_on(F.col("value"), kind).alias("tds_15"), grossed_up(F.col("value"), kind).alias("total_amount"),
         "place", F.lit("A").alias("flag"), "posted_at",
     )
     sums = facts.groupBy("nav_code", "nav_name", "claim_type", "place").agg(
         F.sum("sold").alias("sold"), F.sum("sold_cases").alias("sold_cases"),
-        F.sum("pieces").alias("pieces"), F.sum("cases").alias("cases"), F.sum("value").alias("value"),
+        F.sum("units").alias("units"), F.sum("case_units").alias("case_units"), F.sum("value").alias("value"),
     )
     taxed = F.col("value").cast("decimal(26,8)") / F.lit(NET_RATE)
     plain = kind == UNTAXED_CLAIM
     values = {
         "nav_code": F.col("nav_code"), "nav_name": F.col("nav_name"), "product_name": F.lit("Total >>"),
-        "qty": F.col("sold"), "qty_case": F.col("sold_cases"), "type": kind,
-        "comp_qty": F.col("pieces"), "comp_qty_case": F.col("cases"), "comp_amount": F.col("value"),
+        "qty": quantity("sold"), "qty_case": quantity("sold_cases"), "type": kind,
+        "comp_qty": quantity("units"), "comp_qty_case": quantity("case_units"), "comp_amount": F.col("value"),
         "tds_15": F.when(plain, F.lit(0)).otherwise((taxed * F.lit(TAX_RATE)).cast(MONEY)),
         "total_amount": F.when(plain, F.col("value").cast(MONEY)).otherwise(taxed.cast(MONEY)),
         "place": F.col("place"), "flag": F.lit("B"),

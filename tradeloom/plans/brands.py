@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.measures import cases, percent_of
 from tradeloom.operators.calendar import resolve_windows, spanning
-from tradeloom.operators.facts import case_factors, counted, scoped_vouchers, sold_pieces, window_sums
+from tradeloom.operators.facts import case_factors, counted, scoped_vouchers, sold_units, window_sums
 from tradeloom.operators.pricing import brand_vertical
 from tradeloom.params import DashboardScope
 from tradeloom.sources.model import Model
@@ -23,10 +23,9 @@ def brand_contribution(model: Model, scope: DashboardScope) -> DataFrame:
     vouchers = scoped_vouchers(
         model.sales_voucher, model, scope, spanning(found["last_year"], found["year"]).holds()
     ).select("voucher_no", "posted_on", "copies")
-    lines = model.sales_line.select("voucher_no", "product_id", sold_pieces().alias("pieces"))
+    lines = model.sales_line.select("voucher_no", "product_id", sold_units().alias("units"))
     by_product = (
-        vouchers.join(lines, "voucher_no")
-        .withColumn("pieces", counted(F.col("pieces"), scope))
+        counted(vouchers.join(lines, "voucher_no"), scope)
         .groupBy("product_id")
         .agg(*window_sums(windows))
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.measures import BONUS_PER_CASE, BUDGET_PER_CASE, MONEY, NET_RATE, RATE, TAX_RATE
+from tradeloom.functions.measures import BONUS_PER_CASE, BUDGET_PER_CASE, NET_RATE, RATE, TAX_RATE, money, pieces
 from tradeloom.operators.claims import claim_rows, pivot_amounts
 from tradeloom.params import ClaimKind, ClaimRequest
 from tradeloom.report import Report, as_on
@@ -65,7 +65,7 @@ def _amounts(rows: DataFrame, keys: list[str], shown: tuple[str, ...], added: tu
     """Amounts by type and their total; groups whose total is 0 or unknown are dropped."""
     wide = pivot_amounts(rows, keys, added)
     return wide.withColumn("total", _sum_of(added)).filter(F.col("total") != 0).select(
-        *keys, *[F.col(t.lower()).cast(MONEY).alias(t.lower()) for t in shown], F.col("total").cast(MONEY)
+        *keys, *[money(F.col(t.lower())).alias(t.lower()) for t in shown], money(F.col("total")).alias("total")
     )
 
 
@@ -73,16 +73,16 @@ def _breakage(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Cases sold, the budget and bonus they earn, and what broke in the market."""
     broken = F.col("claim_type") == MARKET_BREAKAGE
     sums = rows.groupBy(*keys).agg(
-        F.sum("cases").cast("decimal(24,4)").alias("cases"),
-        F.sum(F.when(broken, F.col("pieces")).otherwise(F.lit(0))).alias("broken"),
+        pieces(F.sum("case_units")).cast("decimal(24,4)").alias("cases"),
+        F.sum(F.when(broken, F.col("units")).otherwise(F.lit(0))).alias("broken"),
         F.sum(F.when(broken, F.col("amount")).otherwise(F.lit(0))).alias("broken_amount"),
     )
     return sums.select(
         *keys,
         F.col("cases").cast(RATE).alias("sales_cs"),
         (F.col("cases") * F.lit(BUDGET_PER_CASE)).cast("decimal(32,10)").alias("approved_budget"),
-        F.col("broken").cast(RATE).alias("breakage_pcs"),
-        F.col("broken_amount").cast(MONEY).alias("breakage_amount"),
+        pieces(F.col("broken")).cast(RATE).alias("breakage_pcs"),
+        money(F.col("broken_amount")).alias("breakage_amount"),
         (F.col("cases") * F.lit(BONUS_PER_CASE)).cast(RATE).alias("approved_bonus"),
     )
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.measures import cases, percent_of, value_in_cases, whole
+from tradeloom.functions.measures import cases, percent_of, pieces, value_in_cases, whole
 from tradeloom.operators.calendar import (
     FISCAL_MONTHS,
     Window,
@@ -21,11 +21,11 @@ from tradeloom.operators.facts import (
     DEBIT_NOTE,
     PURCHASE,
     SALE,
-    bought_pieces,
+    bought_units,
     case_factors,
     counted,
     scoped_vouchers,
-    sold_pieces,
+    sold_units,
 )
 from tradeloom.params import DashboardScope
 from tradeloom.sources.model import Model
@@ -46,18 +46,17 @@ def primary_secondary(model: Model, scope: DashboardScope) -> DataFrame:
     seen = {"LM": old_month.holds() | month.holds(), "LY": spanning(old_year, year).holds()}
     compared = {"LM": (month, old_month), "LY": (year, old_year)}
 
-    def comparison(label: str, vouchers: DataFrame, lines: DataFrame, pieces: Column) -> DataFrame:
+    def comparison(label: str, vouchers: DataFrame, lines: DataFrame, units: Column) -> DataFrame:
         headers = scoped_vouchers(vouchers, model, scope, seen["LM"] | seen["LY"]).select(
             "voucher_no", "posted_on", "copies"
         )
         sums = []
         for period, (current, old) in compared.items():
             for side, window in (("now", current), ("old", old)):
-                inside = F.when(window.holds(), F.col("pieces")).otherwise(F.lit(0))
+                inside = F.when(window.holds(), F.col("units")).otherwise(F.lit(0))
                 sums.append(F.sum(F.when(seen[period], inside)).alias(f"{side}_{period}"))
         totals = (
-            headers.join(lines.select("voucher_no", "product_id", pieces.alias("pieces")), "voucher_no")
-            .withColumn("pieces", counted(F.col("pieces"), scope))
+            counted(headers.join(lines.select("voucher_no", "product_id", units.alias("units")), "voucher_no"), scope)
             .groupBy("product_id")
             .agg(*sums)
             .join(case_factors(model), "product_id", "left")
@@ -74,8 +73,8 @@ def primary_secondary(model: Model, scope: DashboardScope) -> DataFrame:
             for period in compared
         ])))
 
-    rows = comparison("Primary", model.purchase_voucher, model.purchase_line, bought_pieces()).unionByName(
-        comparison("Secondary", model.sales_voucher, model.sales_line, sold_pieces())
+    rows = comparison("Primary", model.purchase_voucher, model.purchase_line, bought_units()).unionByName(
+        comparison("Secondary", model.sales_voucher, model.sales_line, sold_units())
     )
     return rows.select(
         "identifier",
@@ -102,19 +101,20 @@ def month_grid(model: Model, scope: DashboardScope) -> DataFrame:
         model.price.select("price_id", "selling_price"), "price_id", "left"
     ).select("product_id", "batch", "selling_price")
 
-    def grid(label: str, lines: DataFrame, pieces: Column) -> DataFrame:
+    def grid(label: str, lines: DataFrame, units: Column) -> DataFrame:
         by_month = (
-            headers.join(lines.select("voucher_no", "product_id", "batch", pieces.alias("pieces")), "voucher_no")
-            .withColumn("pieces", counted(F.col("pieces"), scope))
+            counted(
+                headers.join(lines.select("voucher_no", "product_id", "batch", units.alias("units")), "voucher_no"), scope
+            )
             .groupBy("month", "product_id", "batch")
-            .agg(F.sum("pieces").alias("pieces"))
+            .agg(F.sum("units").alias("units"))
             .join(case_factors(model), "product_id", "left")
             .join(prices, ["product_id", "batch"], "left")
             .select(
                 "month",
-                cases(F.col("pieces"), F.col("factor")).alias("cases"),
+                cases(F.col("units"), F.col("factor")).alias("cases"),
                 value_in_cases(
-                    F.col("pieces").cast("decimal(18,4)") * F.col("selling_price"), F.col("factor")
+                    pieces(F.col("units")).cast("decimal(18,4)") * F.col("selling_price"), F.col("factor")
                 ).alias("value"),
             )
             .groupBy("month")
@@ -134,7 +134,7 @@ def month_grid(model: Model, scope: DashboardScope) -> DataFrame:
         )
         return wide.select(F.inline(F.array("c", "v")))
 
-    rows = grid("Primary", model.purchase_line, bought_pieces()).unionByName(
-        grid("Secondary", model.sales_line, sold_pieces())
+    rows = grid("Primary", model.purchase_line, bought_units()).unionByName(
+        grid("Secondary", model.sales_line, sold_units())
     )
     return rows.select("items", *[whole(F.col(m)).alias(m) for m in FISCAL_MONTHS])

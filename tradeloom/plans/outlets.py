@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.filters import between, outside_head_office
-from tradeloom.functions.measures import PIECES, SETTLED, cases_or_none
-from tradeloom.operators.facts import CREDIT_NOTE, HOME_CENTRE, case_factors, sold_pieces
+from tradeloom.functions.measures import SETTLED, cases_or_none
+from tradeloom.operators.facts import CREDIT_NOTE, HOME_CENTRE, case_factors, sold_units
 from tradeloom.params import OutletRequest
 from tradeloom.report import Report, date_range
 from tradeloom.sources.model import Model
@@ -27,16 +27,16 @@ def sales_by_outlet(model: Model, request: OutletRequest) -> DataFrame:
         ),
         "distributor_id", request.companyid,
     ).select("voucher_no", "distributor_id", "party_id", (F.col("voucher_type") == CREDIT_NOTE).alias("is_return"))
-    lines = model.sales_line.select("voucher_no", "product_id", sold_pieces().alias("pieces"), "net_amount")
+    lines = model.sales_line.select("voucher_no", "product_id", sold_units().alias("units"), "net_amount")
     signed = F.when(F.col("is_return"), -F.col("net_amount")).otherwise(F.col("net_amount"))
     by_bill = (
         vouchers.join(lines, "voucher_no")
         .join(case_factors(model), "product_id", "left")
         .groupBy("distributor_id", "party_id", "voucher_no", "factor")
         .agg(F.max((~F.col("is_return")).cast("int")).alias("bill"),
-             F.sum("pieces").cast(PIECES).alias("pieces"), F.sum(signed).alias("amount"))
+             F.sum("units").alias("units"), F.sum(signed).alias("amount"))
         .groupBy("distributor_id", "party_id", "voucher_no")
-        .agg(F.max("bill").alias("bill"), F.sum(cases_or_none(F.col("pieces"), F.col("factor"))).alias("cases"),
+        .agg(F.max("bill").alias("bill"), F.sum(cases_or_none(F.col("units"), F.col("factor"))).alias("cases"),
              F.sum("amount").alias("amount"))
     )
     return by_bill.groupBy("distributor_id", "party_id").agg(

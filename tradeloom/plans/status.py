@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.measures import cases, value_at_piece_rate, whole
+from tradeloom.functions.measures import cases, pieces, value_at_piece_rate, whole
 from tradeloom.operators.calendar import resolve_windows
 from tradeloom.operators.facts import (
     SALE,
     case_factors,
     counted,
     scoped_vouchers,
-    sold_pieces,
+    sold_units,
     window_sums,
 )
 from tradeloom.operators.pricing import batch_prices
@@ -41,11 +41,10 @@ def overall_status(model: Model, scope: DashboardScope) -> DataFrame:
     vouchers = scoped_vouchers(model.sales_voucher, model, scope, windows["qtd"].holds()).select(
         "voucher_no", "posted_on", "copies", F.coalesce("billed_to", "party_id").alias("account_id")
     )
-    lines = model.sales_line.select("voucher_no", "product_id", sold_pieces().alias("pieces"))
+    lines = model.sales_line.select("voucher_no", "product_id", sold_units().alias("units"))
     sold = (
-        vouchers.join(lines, "voucher_no")
+        counted(vouchers.join(lines, "voucher_no"), scope)
         .join(case_factors(model), "product_id", "left")
-        .withColumn("pieces", counted(F.col("pieces"), scope))
     )
     marks = [F.max(w.holds().cast("int")).alias(f"in_{name}") for name, w in windows.items()]
     things = sold.groupingSets(
@@ -114,16 +113,14 @@ def claim_sales(model: Model, scope: DashboardScope) -> DataFrame:
     vouchers = scoped_vouchers(model.sales_voucher, model, scope, windows["qtd"].holds()).select(
         "voucher_no", "posted_on", "voucher_type", "copies"
     )
-    lines = model.sales_line.select("voucher_no", "product_id", "batch", sold_pieces().alias("pieces"))
+    lines = model.sales_line.select("voucher_no", "product_id", "batch", sold_units().alias("units"))
     prices = batch_prices(model).join(case_factors(model), "product_id", "left").select(
         "product_id", "batch", "complementary_rate", "factor"
     )
     sold = (
-        typed_vouchers(model, vouchers)
-        .join(lines, "voucher_no")
+        counted(typed_vouchers(model, vouchers).join(lines, "voucher_no"), scope)
         .join(prices, ["product_id", "batch"])
-        .withColumn("pieces", counted(F.col("pieces"), scope))
-        .withColumn("value", F.col("pieces").cast("decimal(18,4)") * F.col("complementary_rate"))
+        .withColumn("value", pieces(F.col("units")).cast("decimal(18,4)") * F.col("complementary_rate"))
     )
     billed = F.col("voucher_type") == SALE
     by_bill = (

@@ -6,16 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.filters import between, equal_to, in_list
-from tradeloom.functions.measures import MONEY, cases_or_none
+from tradeloom.functions.measures import MONEY, cases_or_none, pieces
 from tradeloom.operators.facts import (
     CREDIT_NOTE,
     DEBIT_NOTE,
     OPENING,
     PURCHASE,
     SALE,
-    bought_pieces,
+    bought_units,
     case_factors,
-    sold_pieces,
 )
 from tradeloom.operators.pricing import supplied_products
 from tradeloom.params import StockRequest
@@ -27,8 +26,8 @@ OWN_COLUMN = ("PP", "OP", "NEV", "AC", "BC", "TVB", "TEX")
 BUCKETS = ("opening", "purchase", "sales", *[t.lower() for t in OWN_COLUMN], "closing")
 
 
-def stock_movement(model: Model, request: StockRequest) -> DataFrame:
-    """Pieces per company, product and batch, in one pass over the ledger.
+def _units_moved(model: Model, request: StockRequest) -> DataFrame:
+    """Units per company, product and batch, in one pass over the ledger.
 
     ``sales`` are sales of no type with an own column; ``total_sales`` are all.
     """
@@ -40,27 +39,36 @@ def stock_movement(model: Model, request: StockRequest) -> DataFrame:
     )
     keys = ["voucher_no", "distributor_id"]
     typed = vouchers.join(model.claim_tag.select(*keys, "claim_type"), keys, "left")
-    lines = model.ledger_line.select(*keys, "product_id", "batch", "qty_in", "qty_out")
+    lines = model.ledger_line.select(*keys, "product_id", "batch", bought_units().alias("came_in"))
+    came_in = F.col("came_in")
     in_range = between("posted_on", request.date1, request.date2)
     bought = in_range & F.col("voucher_type").isin(PURCHASE, DEBIT_NOTE)
     sold = in_range & F.col("voucher_type").isin(SALE, CREDIT_NOTE)
     kind = F.coalesce("claim_type", F.lit(""))
 
-    def bucket(name: str, condition: Column, pieces: Column) -> Column:
-        return F.sum(F.when(condition, pieces).otherwise(F.lit(0))).cast("decimal(28,4)").alias(name)
+    def bucket(name: str, condition: Column, units: Column) -> Column:
+        return F.sum(F.when(condition, units).otherwise(F.lit(0))).alias(name)
 
     moved = typed.join(lines, keys).groupBy("distributor_id", "product_id", "batch").agg(
-        bucket("opening", (F.col("voucher_type") == OPENING) | (F.col("posted_on") < F.lit(request.date1)),
-               bought_pieces()),
-        bucket("purchase", bought, bought_pieces()),
-        *[bucket(t.lower(), sold & (kind == t), sold_pieces()) for t in OWN_COLUMN],
-        bucket("sales", sold & ~kind.isin(*OWN_COLUMN), sold_pieces()),
-        bucket("total_sales", sold, sold_pieces()),
-        F.sum(bought_pieces()).cast("decimal(28,4)").alias("closing"),
+        bucket("opening", (F.col("voucher_type") == OPENING) | (F.col("posted_on") < F.lit(request.date1)), came_in),
+        bucket("purchase", bought, came_in),
+        *[bucket(t.lower(), sold & (kind == t), -came_in) for t in OWN_COLUMN],
+        bucket("sales", sold & ~kind.isin(*OWN_COLUMN), -came_in),
+        bucket("total_sales", sold, -came_in),
+        F.sum(came_in).alias("closing"),
     )
     return moved.join(model.product.select("product_id"), "product_id")
 
 
+def stock_movement(model: Model, request: StockRequest) -> DataFrame:
+    """Pieces per company, product and batch in each bucket."""
+    moved = _units_moved(model, request)
+    keys = ("distributor_id", "product_id", "batch")
+    return moved.select(
+        *keys, *[pieces(F.col(b)).cast("decimal(28,4)").alias(b) for b in moved.columns if b not in keys]
+    )
+
+
 def _stock_cases(model: Model, request: StockRequest) -> DataFrame:
     """Cases per product and distributor; batches without a price are left out."""
     # A company listed as a customer under several accounts counts once for each.
@@ -69,9 +77,9 @@ def _stock_cases(model: Model, request: StockRequest) -> DataFrame:
     ).agg(F.count("*").cast("int").alias("listings"))
     priced = model.price_batch.groupBy("product_id", "batch").agg(F.count("*").cast("int").alias("prices"))
     listed = model.distributor.select("distributor_id", F.col("distributor_id").alias("distributor_code"))
-    times = F.coalesce("listings", F.lit(1)) * F.col("prices")
+    times = (F.coalesce("listings", F.lit(1)) * F.col("prices")).cast("bigint")
     by_product = (
-        stock_movement(model, request)
+        _units_moved(model, request)
         .join(priced, ["product_id", "batch"])
         .join(accounts, "distributor_id", "left")
         .join(listed, "distributor_id", "left")

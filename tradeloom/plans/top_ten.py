@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.filters import in_list
 from tradeloom.functions.measures import SETTLED, cases, whole
 from tradeloom.operators.calendar import resolve_windows, spanning
-from tradeloom.operators.facts import case_factors, counted, scoped_vouchers, sold_pieces, window_sums
+from tradeloom.operators.facts import case_factors, counted, scoped_vouchers, sold_units, window_sums
 from tradeloom.params import ALL, DashboardScope
 from tradeloom.sources.model import Model
 
@@ -40,12 +40,11 @@ def top_parties(model: Model, scope: DashboardScope, mcode: str = ALL) -> DataFr
     )
     products = model.product.select("product_id").join(case_factors(model), "product_id", "left")
     lines = in_list(model.sales_line, "product_id", mcode).select(
-        "voucher_no", "product_id", sold_pieces().alias("pieces")
+        "voucher_no", "product_id", sold_units().alias("units")
     )
     by_party = (
-        vouchers.join(lines, "voucher_no")
+        counted(vouchers.join(lines, "voucher_no"), scope)
         .join(products, "product_id")
-        .withColumn("pieces", counted(F.col("pieces"), scope))
         .groupBy("account_id", "factor")
         .agg(*window_sums(windows))
         .groupBy("account_id")
@@ -62,10 +61,9 @@ def top_skus(model: Model, scope: DashboardScope) -> DataFrame:
     vouchers = scoped_vouchers(model.sales_voucher, model, scope, span.holds()).select(
         "voucher_no", "posted_on", "copies"
     )
-    lines = model.sales_line.select("voucher_no", "product_id", sold_pieces().alias("pieces"))
+    lines = model.sales_line.select("voucher_no", "product_id", sold_units().alias("units"))
     by_product = (
-        vouchers.join(lines, "voucher_no")
-        .withColumn("pieces", counted(F.col("pieces"), scope))
+        counted(vouchers.join(lines, "voucher_no"), scope)
         .groupBy("product_id")
         .agg(*window_sums(windows))
     )
