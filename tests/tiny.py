@@ -5,24 +5,32 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from tradeloom.sources.model import AMOUNT, ERP_TABLES, Model, schema
+import pyarrow as pa
+
+from tradeloom.sources.model import AMOUNT, CODE, DAY, ERP_TABLES, TEXT, WHOLE, Model, schema
 
 
 def day(text: str) -> dt.date:
     return dt.date.fromisoformat(text)
 
 
+ARROW_TYPES = {CODE: pa.string(), TEXT: pa.string(), DAY: pa.date32(), WHOLE: pa.int32(), AMOUNT: pa.decimal128(18, 4)}
+
+
 def tiny_model(spark, **tables: list[dict]) -> Model:
+    """Small Arrow tables become local relations, so Spark knows how small they are."""
+
     def frame(table):
         kinds = {c: kind for c, (_, kind) in ERP_TABLES[table][1].items()}
-        rows = []
-        for row in tables.get(table, []):
-            assert set(row) <= set(kinds), set(row) - set(kinds)
-            rows.append(tuple(
-                Decimal(str(row[c])) if kind == AMOUNT and row.get(c) is not None else row.get(c)
-                for c, kind in kinds.items()
-            ))
-        return spark.createDataFrame(rows, schema(table))
+        columns = {}
+        given = tables.get(table, [])
+        assert all(set(row) <= set(kinds) for row in given)
+        for c, kind in kinds.items():
+            values = [row.get(c) for row in given]
+            if kind == AMOUNT:
+                values = [None if v is None else Decimal(str(v)) for v in values]
+            columns[c] = pa.array(values, ARROW_TYPES[kind])
+        return spark.createDataFrame(pa.table(columns), schema(table))
 
     return Model({table: lambda table=table: frame(table) for table in ERP_TABLES})
 
