@@ -7,10 +7,12 @@ seen before need not be tokenized again.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import regex
 
@@ -18,11 +20,13 @@ _SAFE = re.compile(r" (?<=\S )(?=\S)")
 #: The byte-level pattern that splits text before the merges (fixed value of the public vocabulary).
 PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Chunks that a worker remembers before the oldest half is forgotten; longer ones are not remembered.
-REMEMBERED = 250_000
+#: Characters that byte-level vocabularies write otherwise.
+_OTHERS = re.compile(r"[^\x21-\x7e]")
+#: Pre-tokens that a worker remembers, the first it meets; longer ones are not remembered.
+REMEMBERED = 120_000
 LONG = 48
-#: Texts that are cut and looked up together, and characters at most unless one text has more.
-TOGETHER, CHARACTERS = 2000, 8_000_000
+#: Texts whose chunks are looked up together, and characters at most unless one text has more.
+TOGETHER, CHARACTERS = 3000, 10_000_000
 
 
 def byte_letters() -> list[str]:
@@ -42,49 +46,50 @@ def ragged(chunk: str) -> bool:
     return not chunk or chunk[0].isspace() or chunk[-1].isspace()
 
 
-class Memory:
-    """What a worker remembers: the younger and the older half."""
+def pieces(text: str, wrong: set[str]) -> tuple[str, list[str]]:
+    """The first chunk and those after a space. ``wrong``: pieces that show that a space is no cut."""
+    first, *rest = text.split(" ")
+    if rest and ((first and first[-1].isspace()) or (wrong and not wrong.isdisjoint(rest))):
+        first, *rest = cut(text)
+    return first, rest
 
-    def __init__(self):
-        self.young, self.old = {}, {}
 
-    def get(self, key):
-        found = self.young.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is not None:
-                self.put(key, found)
-        return found
+def distinct(texts: list[str]) -> tuple[set[str], set[str]]:
+    """The different chunks after a space, and those of them that begin or end in white space or are empty."""
+    after: set[str] = set()
+    for text in texts:
+        after.update(text.split(" ")[1:])
+    wrong, again = {c for c in after if ragged(c)}, set()
+    for text in texts:
+        first, *rest = text.split(" ", 1)
+        if rest and ((first and first[-1].isspace()) or (wrong and not wrong.isdisjoint(text.split(" ")[1:]))):
+            again.update(cut(text)[1:])
+    return after | again if again else after, wrong | {c for c in again if ragged(c)}
 
-    def put(self, key, value) -> None:
-        if len(key) <= LONG:
-            if len(self.young) >= REMEMBERED:
-                self.young, self.old = {}, self.young
-            self.young[key] = value
-
-
-def chunked(texts: list[str]) -> tuple[list[list[str]], set[str]]:
-    """Every text's chunks, the first with nothing before it, and the different chunks after a space."""
-    pieces = [t.split(" ") for t in texts]
-    after = set().union(*[p[1:] for p in pieces])
-    wrong = {c for c in after if ragged(c)}
-    again = False
-    for i, p in enumerate(pieces):
-        if (p[0] and p[0][-1].isspace() and len(p) > 1) or (wrong and not wrong.isdisjoint(p[1:])):
-            pieces[i], again = cut(texts[i]), True
-    return pieces, set().union(*[p[1:] for p in pieces]) if again else after
-
-
-def split_chunks(chunks: list[str]) -> Iterator[list[str]]:
-    """Pre-tokens of each chunk with its space. Chunks that may end in white space must not come here."""
-    parts = iter(PATTERN.findall("".join([" " + c for c in chunks])))
-    for chunk in chunks:
-        found, left = [], len(chunk) + 1
-        while left:
-            part = next(parts)
-            left -= len(part)
-            found.append(part)
-        yield found
+
+def split_chunks(chunks: list[str]) -> list[list[str]]:
+    """Pre-tokens of each chunk with its space. Chunks with white space at an end must not come here.
+
+    A line separator before each chunk comes out of the pattern alone and shows where the chunk begins.
+    """
+    joined = "".join([f"\u2028 {c}" for c in chunks]) + "\u2028"
+    if joined.count("\u2028") > len(chunks) + 1:
+        return [PATTERN.findall(" " + c) for c in chunks]
+    parts = PATTERN.findall(joined)
+    marks = [i for i, p in enumerate(parts) if p == "\u2028"]
+    return [parts[a + 1: b] for a, b in zip(marks, marks[1:], strict=False)]
+
+
+@contextmanager
+def no_collector() -> Iterator[None]:
+    """Without Python's cycle collector, which would walk all the chunks again and again; none of them make cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
 def groups_of(texts: Iterable[str]) -> Iterator[list[str]]:
@@ -121,38 +126,59 @@ class Encoder:
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"]
                         for t in said["added_tokens"]))
         letters = byte_letters()
-        self.letters = {b: c for b, c in enumerate(letters) if chr(b) != c}
-        self.parts, self.chunks = Memory(), Memory()
+        self.letters = {chr(b): c for b, c in enumerate(letters) if chr(b) != c}
+        self.parts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            letters = part.encode().decode("latin-1").translate(self.letters)
-            found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-            self.parts.put(part, found)
+    def _letter(self, found: re.Match) -> str:
+        char = found.group()
+        known = self.letters.get(char) if char.isascii() else None
+        return known or "".join(self.letters.get(chr(b), chr(b)) for b in char.encode())
+
+    def _parts(self, lists: list[list[str]]) -> dict[str, bytes]:
+        """Ids of each pre-token in the lists."""
+        found, new = {}, []
+        for part in set().union(*lists):
+            ids = self.parts.get(part)
+            if ids is None:
+                new.append(part)
+            else:
+                found[part] = ids
+        tokenize = self.model.tokenize
+        for part in new:
+            letters = "\u0120" + part[1:] if part[0] == " " else part
+            if not part.isascii() or not part.isprintable() or " " in letters:
+                letters = _OTHERS.sub(self._letter, part)
+            ids = array("I", [t.id for t in tokenize(letters)]).tobytes()
+            found[part] = ids
+            if len(self.parts) < REMEMBERED and len(part) <= LONG:
+                self.parts[part] = ids
         return found
 
+    @no_collector()
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if not self.cuts:
             return [self.whole(t) for t in texts]
-        pieces, after = chunked(texts)
-        found, new = {}, []
-        for chunk in after:
-            known = self.chunks.get(chunk)
-            if known is not None:
-                found[chunk] = known
-            elif ragged(chunk) or any(s in chunk for s in self.special):
-                found[chunk] = self.whole(" " + chunk)
-            else:
-                new.append(chunk)
-        for chunk, parts in zip(new, split_chunks(new), strict=True):
-            found[chunk] = ids = b"".join([self.part(p) for p in parts])
-            self.chunks.put(chunk, ids)
-        return [b"".join([self.whole(p[0]), *map(found.__getitem__, p[1:])]) for p in pieces]
+        after, wrong = distinct(texts)
+        odd = set(wrong)
+        if any(s in t for s in self.special for t in texts):
+            odd |= {c for c in after if any(s in c for s in self.special)}
+        found = {c: self.whole(" " + c) for c in odd}
+        plain = list(after - odd)
+        for at in range(0, len(plain), 50_000):
+            own = plain[at: at + 50_000]
+            lists = split_chunks(own)
+            ids = self._parts(lists)
+            for chunk, parts in zip(own, lists, strict=True):
+                found[chunk] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[p] for p in parts])
+        out = []
+        for text in texts:
+            first, rest = pieces(text, wrong)
+            out.append(b"".join([self.whole(first), *map(found.__getitem__, rest)]))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}

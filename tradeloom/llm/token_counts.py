@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.chunks import PATTERN, Memory, byte_letters, chunked, groups_of, ragged, split_chunks, texts_of
+from tradeloom.llm.chunks import LONG, PATTERN, REMEMBERED, byte_letters, distinct, groups_of, no_collector, pieces, split_chunks, texts_of
 
 NONE = np.iinfo(np.int32).max
 #: Pre-tokens merged together, in symbols.
-SYMBOLS = 2_000_000
+SYMBOLS = 1_000_000
 
 
 class Merges:
@@ -105,11 +105,11 @@ class Merges:
 
 
 class Counter:
-    """Counts tokens of texts; remembers chunks and pre-tokens."""
+    """Counts tokens of texts; remembers the first pre-tokens it meets."""
 
     def __init__(self, path: str):
         self.merges = Merges(path)
-        self.chunks, self.parts = Memory(), Memory()
+        self.parts: dict[str, int] = {}
 
     def _parts(self, lists: list[list[str]]) -> list[int]:
         """Tokens of each list of pre-tokens."""
@@ -130,7 +130,8 @@ class Counter:
                 stop += 1
             for part, n in zip(new[at:stop], self.merges.count(raw[at:stop]).tolist(), strict=True):
                 known[part] = n
-                self.parts.put(part, n)
+                if len(self.parts) < REMEMBERED and len(part) <= LONG:
+                    self.parts[part] = n
             at = stop
         return [sum(map(known.__getitem__, parts)) for parts in lists]
 
@@ -139,28 +140,27 @@ class Counter:
         between = self.merges.special.split(text)
         return [p for t in between for p in PATTERN.findall(t)], len(between) - 1
 
+    def _texts(self, texts: list[str]) -> list[int]:
+        split = [self._split(t) for t in texts]
+        return [n + more for n, (_, more) in zip(self._parts([p for p, _ in split]), split, strict=True)]
+
+    @no_collector()
     def count(self, texts: list[str]) -> list[int]:
-        pieces, after = chunked(texts)
-        found: dict[str, int] = {}
-        plain, odd = [], []
-        for chunk in after:
-            known = self.chunks.get(chunk)
-            if known is not None:
-                found[chunk] = known
-            elif ragged(chunk) or self.merges.special.search(chunk):
-                odd.append(chunk)
-            else:
-                plain.append(chunk)
-        lists = list(split_chunks(plain))
-        others = [self._split(t) for t in [*(" " + c for c in odd), *(p[0] for p in pieces)]]
-        counts = self._parts([*lists, *(parts for parts, _ in others)])
-        for chunk, n in zip(plain, counts, strict=False):
-            found[chunk] = n
-            self.chunks.put(chunk, n)
-        counts = [n + more for n, (_, more) in zip(counts[len(plain):], others, strict=True)]
-        found.update(zip(odd, counts, strict=False))
-        return [n + sum(map(found.__getitem__, p[1:]))
-                for n, p in zip(counts[len(odd):], pieces, strict=True)]
+        after, wrong = distinct(texts)
+        odd = list(wrong)
+        if any(self.merges.special.search(t) for t in texts):
+            odd += [c for c in after - wrong if self.merges.special.search(c)]
+        found = dict(zip(odd, self._texts([" " + c for c in odd]), strict=True))
+        plain = [c for c in after if c not in found]
+        for at in range(0, len(plain), 100_000):
+            own = plain[at: at + 100_000]
+            found.update(zip(own, self._parts(split_chunks(own)), strict=True))
+        firsts, rests = [], []
+        for text in texts:
+            first, rest = pieces(text, wrong)
+            firsts.append(first)
+            rests.append(sum(map(found.__getitem__, rest)))
+        return [a + b for a, b in zip(self._texts(firsts), rests, strict=True)]
 
 
 _COUNTERS: dict[str, Counter] = {}
