@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm import exact_dedup, mixing, near_dedup, packing, quality_ledger
-from tradeloom.llm.common import keep
+from tradeloom.llm.common import importable, keep
 from tradeloom.llm.queries import tokenizer_file
 
 
@@ -25,6 +25,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-copy group stays: shingles of five words, similarity 0.8."""
+    importable(spark)
     return near_dedup.drop_near_copies(docs)
 
 
@@ -35,6 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences."""
+    importable(spark)
     return packing.pack(docs, tokenizer_file())
 
 

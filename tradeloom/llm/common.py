@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,6 +33,14 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, whatever folder they start in."""
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if top not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, top]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see, as ``spark.checkpoint.dir`` names it.
 

@@ -6,11 +6,13 @@ least ``matches`` coordinates but for a chance of about one in a million, and tw
 many share one of the ``coordinates - matches + 1`` pairs that are rarest in either: only this
 prefix of a class is merged, its long lists are skipped and looked up in the signatures afterwards.
 
-Lists are merged in two rounds. The first pairs each member with its list's smallest member;
-pairs that agree in enough coordinates are confirmed on the full shingle sets and joined into
-components. The second pairs only members of a list that still lie in different components and
-were not paired before. A group of copies so costs a pair a member, not all pairs, and no link
-between components is lost.
+Lists are merged in rounds. The first pairs each member with its list's smallest member; pairs
+that agree in enough coordinates are confirmed on the full shingle sets and joined into components.
+HUB_ROUNDS more rounds pair the members with another member drawn by hash for each list, where the
+two still lie in different components. The last round pairs all members of a list that lie in
+different components, but for those whose sets cannot be similar enough: a shingle that no other
+such member has is in no intersection, which bounds the similarity. A group of copies so costs some
+pairs a member, not all pairs, and no link between components is lost.
 
 Null texts and texts without a word have an empty set and are linked with nothing. A text with
 fewer words than a shingle is one shingle. Null ids are no component's name unless it has no other
@@ -41,6 +43,9 @@ MATCHES = ((90, 32), (85, 28), (80, 24), (0, 1))
 #: Keys that may be broadcast to pick candidates' texts; beyond that they are joined by shuffling.
 KEYS = 1_000_000
 
+#: Rounds with hubs drawn by hash.
+HUB_ROUNDS = 2
+
 _SEEDS = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -132,9 +137,8 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, percent: int, matches: int)
     return joined.mapInArrow(agreeing, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int, name: str) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough. Sets are made anew from one text of each class."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int, name: str) -> DataFrame:
+    """node and ``shingles``, its full set as sorted 64-bit numbers, made anew from one text of each class."""
     wanted = keep(nodes.join(classes, "node").select("node", "rep_id", "rep_key"), f"{name}-wanted")
     if wanted.limit(KEYS + 1).count() <= KEYS:
         wanted = F.broadcast(wanted)
@@ -157,7 +161,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
 
     # A row that repeats id and text makes the same set again; one of them is enough.
     made = texts.select("node", "text").mapInArrow(sets, "node long, shingles binary")
-    made = keep(made.groupBy("node").agg(F.first("shingles").alias("shingles")), f"{name}-sets")
+    return keep(made.groupBy("node").agg(F.first("shingles").alias("shingles")), f"{name}-sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int, name: str) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    made = _full_sets(nodes, docs, classes, size, name)
     joined = pairs.join(made.withColumnsRenamed({"node": "a", "shingles": "s_a"}), "a").join(
         made.withColumnsRenamed({"node": "b", "shingles": "s_b"}), "b").select("a", "b", "s_a", "s_b")
 
@@ -173,6 +183,21 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
     return keep(joined.mapInArrow(similar, "a long, b long"), f"{name}-links")
 
 
+def _common(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """node and ``common``: how many shingles of its full set another of the nodes has too."""
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = batch.column(1).to_pylist()
+            node = np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in sets])
+            shingle = np.frombuffer(b"".join(sets), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(shingle)], names=["node", "shingle"])
+
+    each = _full_sets(nodes, docs, classes, size, "last").mapInArrow(opened, "node long, shingle long")
+    shared = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    return each.join(shared, "shingle").groupBy("node").agg(F.count("*").alias("common"))
+
+
 def near_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, text_key, n_shingles, component (any number, null if alone), component_id.
 
@@ -200,20 +225,40 @@ def near_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     links = _confirmed(agreed, docs, classes, size, percent, "first")
     roots = components(links, "first")
 
-    # Second round: lists in which more than one component is left.
-    placed = lists.select("node", "item", "hub").join(roots, "node", "left").select(
-        "node", "item", "hub", F.coalesce("root", "node").alias("root"))
-    mixed_lists = placed.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    placed = keep(placed.join(mixed_lists.select("item"), "item"), "placed")
-    other = placed.select("item", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    across = placed.select("item", "hub", F.col("node").alias("a"), "root").join(other, "item").where(
-        (F.col("root") < F.col("root_b")) & (F.col("a") != F.col("hub")) & (F.col("b") != F.col("hub")))
-    second = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    agreed = keep(_agreeing(second, classes, percent, matches), "agreed")
-    if agreed.limit(1).count():
-        more = _confirmed(agreed, docs, classes, size, percent, "second")
-        links = keep(links.union(more), "links")
-        roots = components(links, "all")
+    def still_apart(roots: DataFrame) -> DataFrame:
+        """Members of the lists in which more than one component is left."""
+        placed = lists.select("node", "item", "hub").join(roots, "node", "left").select(
+            "node", "item", "hub", F.coalesce("root", "node").alias("root"))
+        apart = placed.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        return keep(placed.join(apart.select("item"), "item"), "placed")
+
+    def linked(pairs: DataFrame, links: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        agreed = keep(_agreeing(pairs, classes, percent, matches), "agreed")
+        if not agreed.limit(1).count():
+            return links, roots
+        links = keep(links.union(_confirmed(agreed, docs, classes, size, percent, "more")), "links")
+        return links, components(links, "all")
+
+    for turn in range(HUB_ROUNDS):
+        placed = still_apart(roots)
+        drawn = placed.groupBy("item").agg(F.min(F.struct(
+            F.xxhash64(F.lit(turn), "item", "node").alias("draw"), "node", "root")).alias("h")).select(
+            "item", F.col("h.node").alias("b"), F.col("h.root").alias("root_b"))
+        pairs = placed.join(drawn, "item").where("root <> root_b").select(F.col("node").alias("a"), "b")
+        links, roots = linked(pairs, links, roots)
+
+    placed = still_apart(roots)
+    sizes = _common(placed.select("node").distinct(), docs, classes, size).join(
+        classes.select("node", "n_shingles"), "node")
+    placed = keep(placed.join(sizes, "node"), "placed")
+    a, b = placed.select("item", *[F.col(c).alias(f"a_{c}") for c in ("node", "root", "hub", "common", "n_shingles")]), \
+        placed.select("item", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "common", "n_shingles")])
+    most = F.least("a_common", "b_common")
+    across = a.join(b, "item").where(
+        (F.col("a_root") < F.col("b_root")) & (F.col("a_node") != F.col("a_hub")) & (F.col("b_node") != F.col("a_hub"))
+        & (100 * most >= percent * (F.col("a_n_shingles") + F.col("b_n_shingles") - most)))
+    links, roots = linked(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), links, roots)
 
     named = signed.join(classes.select("set_key", "node"), "set_key", "left").join(roots, "node", "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("root", "node").alias("component"))

@@ -21,7 +21,7 @@ from tradeloom.llm import (
     token_files,
     warc_files,
 )
-from tradeloom.llm.common import new_folder
+from tradeloom.llm.common import importable, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,7 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
@@ -95,6 +96,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    importable(spark)
     target = new_folder(spark, "warc")
     warc_files.write_warc(spark.read.parquet(f"{folder}/pages.parquet"), target)
     return warc_files.read_warc(spark, target).select(
