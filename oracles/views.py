@@ -58,7 +58,11 @@ VIEWS: dict[str, str] = {
         SELECT 'O' || fy || 'M' || p_partkey AS voucher_no, 'N' || ((p_size - 1) // 2) AS distributor_id,
                make_date(fy, 4, 1) + 103 AS posted_on, 'M' || p_partkey AS product_id,
                CAST(p_size * 10 AS DECIMAL(18,4)) AS qty_in
-        FROM part CROSS JOIN (SELECT CAST(unnest(generate_series(1995, 2001)) AS INTEGER) AS fy)""",
+        FROM part CROSS JOIN (
+            SELECT CAST(unnest(generate_series(
+                min(year(d - 110) - CASE WHEN month(d - 110) >= 4 THEN 0 ELSE 1 END),
+                max(year(d - 103) - CASE WHEN month(d - 103) >= 4 THEN 0 ELSE 1 END))) AS INTEGER) AS fy
+            FROM ord)""",
     "ledger_voucher": f"""
         SELECT voucher_no, distributor_id, posted_on, voucher_type, profit_centre,
                substr(CAST(fy AS VARCHAR), 3, 2) || '/' || substr(CAST(fy + 1 AS VARCHAR), 3, 2) AS fiscal_year

@@ -159,6 +159,20 @@ def test_one_sale_claimed_twice_counts_its_cases_twice(spark):
     assert broken["approved_budget"] == D("156.521736")
 
 
+def test_sales_of_unlisted_companies_are_one_unknown_company(spark):
+    model = claim_shop(
+        spark, [voucher("X1", "2000-01-05", company="X"), voucher("Y1", "2000-01-06", company="Y")],
+        [line("X1", "M1", out=12), line("Y1", "M1", out=24)], [])
+    detail = rows(claim_summary(model, ClaimRequest(*RANGE, claimtype=5))["detail"])
+    assert [(r["product_name"], r["distributor_code"], r["sales_cs"]) for r in detail] == [("Twelve", None, 36)]
+
+
+def test_each_claim_report_has_its_own_default_layout(spark):
+    model = tiny_model(spark, **shop())
+    assert "bc" in claim_summary(model, ClaimRequest(*RANGE))["detail"].columns
+    assert {"pp", "nev"} <= set(claim_print(model, ClaimRequest(*RANGE)).columns)
+
+
 def test_claims_on_an_empty_range(spark):
     model = claim_shop(spark, [], [], [])
     request = ClaimRequest(*RANGE, claimtype=5)

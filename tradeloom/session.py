@@ -17,8 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A short list of filtered vouchers prunes the big line scan before its shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    # The hierarchy walk stops at 100 levels; its row count is not limited.
-    "spark.sql.cteRecursionLevelLimit": "100",
+    # Tables bucketed by voucher are joined on voucher and more without a shuffle; vouchers are many, so none is hot.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # The hierarchy walk's row count is not limited; its depth limit is the session's own.
     "spark.sql.cteRecursionRowLimit": "-1",
     "spark.sql.session.timeZone": "UTC",
 }
