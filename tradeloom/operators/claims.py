@@ -182,7 +182,7 @@ def claim_rows(
         sales, (F.col("ref_no") == F.col("bill")) & (F.col("product_id") == F.col("sold_product")),
         "left" if types else "full",
     )
-    return joined.select(
+    rows = joined.select(
         F.coalesce("product_id", "sold_product").alias("product_id"),
         *[F.coalesce(c, F.col("sold_by")).alias(c) for c in owner],
         "claim_type",
@@ -190,6 +190,12 @@ def claim_rows(
         F.coalesce("units", F.lit(0)).alias("units"),
         (F.coalesce("case_units", F.lit(0)) * F.coalesce("claims", F.lit(1))).alias("case_units"),
     )
+    if not by_company:
+        return rows
+    # Companies that are not listed are one unknown company.
+    listed = model.distributor.select("distributor_id", F.col("distributor_id").alias("listed"))
+    return rows.join(listed, "distributor_id", "left").drop("distributor_id").withColumnRenamed(
+        "listed", "distributor_id")
 
 
 def claims_vs_sales(model: Model, request: ClaimRequest) -> DataFrame:

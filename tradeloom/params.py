@@ -64,7 +64,11 @@ class ClaimRequest:
     date2: dt.date
     companyid: str = ALL
     acid: str = ALL
-    claimtype: int = ClaimKind.BRAND
+    #: a ClaimKind; without one each report shows its own default layout
+    claimtype: int | None = None
+
+    def kind(self, default: ClaimKind) -> ClaimKind:
+        return default if self.claimtype is None else ClaimKind.of(self.claimtype)
 
 
 @dataclass(frozen=True)

@@ -92,7 +92,7 @@ BREAKAGE_COLUMNS = ("sales_cs", "approved_budget", "breakage_pcs", "breakage_amo
 
 def claim_summary(model: Model, request: ClaimRequest) -> Report:
     """Detail by product and distributor, and the grand total."""
-    kind = ClaimKind.of(request.claimtype)
+    kind = request.kind(ClaimKind.BRAND)
     keys = ["product_id", "distributor_id"]
     names = (*DISTRIBUTOR_COLUMNS, "product_code", "product_name")
     label = F.lit("Total").alias("product_name")
@@ -128,7 +128,7 @@ def claim_print(model: Model, request: ClaimRequest) -> DataFrame:
 
     ``fflg`` is the line style; rows come sorted by section.
     """
-    kind = ClaimKind.of(request.claimtype)
+    kind = request.kind(ClaimKind.SALES)
     if kind is ClaimKind.BREAKAGE:
         rows = claim_rows(model, request, by_company=False)
         detail = _named(_breakage(rows, ["product_id"]), model, False).select("product_name", *BREAKAGE_COLUMNS)

@@ -21,7 +21,6 @@ CLAIM_BILL = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
 RETURN_BILL = "o_orderstatus = 'F'"
 CALENDAR_LAG = 103
 LOCAL_YEAR_OFFSET = 57
-FIRST_FISCAL_YEAR, LAST_FISCAL_YEAR = 1995, 2001
 
 BATCH = "CASE WHEN l_linenumber < 3 THEN 'B0' WHEN l_linenumber < 5 THEN 'B1' ELSE 'B2' END"
 CENTRE = "CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'PC001' ELSE 'PC007' END"
@@ -126,10 +125,21 @@ def retail_model(spark: SparkSession, folder: str) -> Model:
             distributor_id="concat('N', c_nationkey)", profit_centre=CENTRE,
         )
 
+    @cache
+    def opening_years() -> tuple[int, int]:
+        """First and last year whose fiscal year a voucher of the given orders falls into."""
+        def year(day: str) -> str:
+            return f"year(date_sub({day}, {CALENDAR_LAG})) - if(month(date_sub({day}, {CALENDAR_LAG})) >= 4, 0, 1)"
+
+        first, last = orders().selectExpr(f"min({year('date_sub(o_day, 7)')})", f"max({year('o_day')})").head()
+        return (first, last) if first is not None else (1, 0)
+
     def openings() -> DataFrame:
+        first, last = opening_years()
+        years = F.array(*[F.lit(y) for y in range(first, last + 1)]).cast("array<int>")
         return source("part").select(
             "p_partkey", "p_size",
-            F.explode(F.sequence(F.lit(FIRST_FISCAL_YEAR), F.lit(LAST_FISCAL_YEAR))).alias("fy"),
+            F.explode(years).alias("fy"),
         ).selectExpr(
             "concat('O', fy, 'M', p_partkey) AS voucher_no",
             "concat('N', floor((p_size - 1) / 2)) AS distributor_id",
