@@ -174,11 +174,16 @@ class Encoder:
             ids = self._parts(lists)
             for chunk, parts in zip(own, lists, strict=True):
                 found[chunk] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[p] for p in parts])
-        out = []
+        del after, plain
+        firsts, out = [], []
         for text in texts:
             first, rest = pieces(text, wrong)
-            out.append(b"".join([self.whole(first), *map(found.__getitem__, rest)]))
-        return out
+            firsts.append(first)
+            out.append(b"".join(map(found.__getitem__, rest)))
+        lists = [PATTERN.findall(first) for first in firsts]
+        ids = self._parts(lists)
+        return [(self.whole(first) if any(s in first for s in self.special) else b"".join([ids[p] for p in parts])) + rest
+                for first, parts, rest in zip(firsts, lists, out, strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -191,6 +196,8 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def texts_of(column) -> list[str]:
-    """An Arrow column's texts; null is empty."""
-    return [value or "" for value in column.to_pylist()]
+def texts_of(column) -> Iterator[str]:
+    """An Arrow column's texts one by one; null is empty."""
+    for at in range(0, len(column), 500):
+        for value in column.slice(at, 500).to_pylist():
+            yield value or ""

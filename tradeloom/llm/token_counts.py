@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,11 +175,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
             _COUNTERS[tokenizer] = Counter(tokenizer)
         own = _COUNTERS[tokenizer]
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            tokens = [n for group in groups_of(texts) for n in own.count(group)]
+            tokens = [n for group in groups_of(texts_of(batch.column(1))) for n in own.count(group)]
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
-                 pa.array(tokens, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+                [batch.column(0), sizes, pa.array(tokens, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     made = docs.select("doc_id", "text").mapInArrow(counted, "doc_id long, n_bytes long, n_tokens long")
     return made.withColumn("over_limit", F.col("n_tokens") > limit)
