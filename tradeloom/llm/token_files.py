@@ -29,6 +29,18 @@ BLOCK = 512
 #: Longest code, raised only where the number of different ids needs more; a decoding table has two to this entries.
 LONGEST = 18
 END_ID = 0
+#: Ids coded or decoded together, unless one document has more.
+TOGETHER = 300_000
+
+
+def slices(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of stretches with few ids in all."""
+    upto, at = np.cumsum(counts), 0
+    while at < len(counts):
+        before = upto[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(upto, before + TOGETHER, side="right")))
+        yield at, stop - at
+        at = stop
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> DataFrame:
@@ -174,9 +186,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = CodeTable(ids, lengths)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                n = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            counts = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for at, rows in slices(counts):
+                part, n = batch.slice(at, rows), counts[at: at + rows]
                 stream = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype="<u4")
                 payloads, offsets = table.encode(stream, n)
                 yield pa.RecordBatch.from_arrays(
@@ -200,10 +212,11 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = CodeTable(ids, lengths)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            counts = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            for at, rows in slices(counts):
+                part = batch.slice(at, rows)
                 found = table.decode(
-                    part.column(3).to_pylist(), part.column(2).to_numpy(zero_copy_only=False).astype(np.int64),
+                    part.column(3).to_pylist(), counts[at: at + rows],
                     [np.array(o, dtype=np.int64) for o in part.column(4).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:3], pa.array([x.astype("<u4").tobytes() for x in found], pa.binary())],
