@@ -148,7 +148,9 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int =
     rows = read.join(first.withColumn("n", F.lit(True)), "digest", "left").select(
         shard_of("page_id").alias("shard"), "page_id", "url", "digest", "size",
         F.when(~(shared & ~same), F.col("html")).alias("html"), shared.alias("shared"), "first_id", "first_url")
-    dealt = rows.repartition(len(begins) + 1, "shard").sortWithinPartitions("shard", "page_id", "url", "digest")
+    # A task a shard: hashed shards would meet in some tasks and leave others empty.
+    dealt = rows.repartitionById(len(begins) + 1, F.col("shard").cast("int")).sortWithinPartitions(
+        "shard", "page_id", "url", "digest")
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = _place(f"{folder}/files")
