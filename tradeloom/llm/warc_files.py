@@ -185,12 +185,22 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int =
     return spark.read.parquet(f"{folder}/manifest")
 
 
+#: Compressed bytes that the reader decodes at a time.
+FED = 1 << 14
+
+
 def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record of a file; each record is a gzip member of its own."""
-    while data:
-        member = zlib.decompressobj(31)
-        raw = member.decompress(data) + member.flush()
-        data = member.unused_data
+    at = 0
+    while at < len(data):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof:
+            fed = data[at: at + FED]
+            if not fed:
+                raise ValueError("a file ends within a record")
+            parts.append(member.decompress(fed))
+            at += len(fed) - len(member.unused_data)
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         fields = dict(line.split(": ", 1) for line in lines[1:])
@@ -230,4 +240,5 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                     names=[f.split()[0] for f in schema.split(", ")])
 
-    return listed.repartition("file").mapInArrow(parsed, schema)
+    # As many tasks as files; the names alone are so few bytes that adaptive execution would read all files in one task.
+    return listed.repartition(max(1, listed.count())).mapInArrow(parsed, schema)
