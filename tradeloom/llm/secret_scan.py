@@ -1,10 +1,11 @@
 """Secret scans: fixed patterns, and windows of high entropy inside candidate strings.
 
-Only built-in functions run. A candidate is a maximal run of one character class that holds a
-digit. Over its characters a window slides whose counts are updated by the character that enters
+Only built-in functions run. A candidate is a maximal run of one character class, as long as a
+window or longer. What the allow-list matches in it is left out, the characters before and after
+move together, and over them a window slides whose counts are updated by the character that enters
 and the one that leaves; from the counts' ``c * log2(c)`` sum follows the window's Shannon entropy.
-Windows at or above the class's limit are merged into spans. Candidates that the allow-list
-matches are left out, and so are spans inside one that a pattern has found already.
+Windows at or above the class's limit, which is another for candidates without a digit, are merged
+into spans of the text as it stands. Spans inside one that a pattern has found already are left out.
 
 Null texts count as empty and give no span; equal rows give equal spans; texts of any length are
 scanned whole; other columns are ignored. Offsets are code points, ends exclusive.
@@ -16,7 +17,6 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,21 +37,23 @@ PATTERNS = (
 class CharacterClass:
     """Characters (as inside a regular expression's brackets), window length, least bits a character.
 
-    ``letters`` are the same characters without the digits.
+    ``letters`` are the same characters without the digits, ``letter_bits`` the limit for runs of them alone.
     """
 
     kind: str
     letters: str
     window: int
     bits: float
+    letter_bits: float
 
 
+#: Six letters have 2.6 bits at most; joined words and paths stay mostly below 3.9, drawn letters are about there.
 CLASSES = (
-    CharacterClass("entropy_hex", "A-Fa-f", 16, 3.0),
-    CharacterClass("entropy_base64", "A-Za-z+/_-", 20, 3.7),
+    CharacterClass("entropy_hex", "A-Fa-f", 16, 3.0, 2.3),
+    CharacterClass("entropy_base64", "A-Za-z+/_-", 20, 3.7, 3.9),
 )
 
-#: Candidates that are no secrets: numbers and dates, UUIDs, placeholders, runs of one character, alphabets.
+#: Parts of candidates that are no secrets: numbers and dates, UUIDs, placeholders, runs of one character, alphabets.
 ALLOWED = (
     r"^[0-9+/_-]*$",
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
@@ -91,11 +93,19 @@ def _found(text: Column, pattern: str, group: int, least: int) -> Column:
     return F.when(F.rlike(text, F.lit(pattern)), let(pieces, placed)).otherwise(none)
 
 
-def _windows(codes: Column, size: int, bits: float) -> Column:
+def _blanked(run: Column, rule: str) -> Column:
+    """The run with a space for each character that the rule matches."""
+    pieces = F.zip_with(
+        F.split(run, rule, -1), F.regexp_extract_all(run, F.lit(rule), F.lit(0)),
+        lambda gap, m: F.concat(gap, F.repeat(F.lit(" "), F.coalesce(F.char_length(m), F.lit(0)))))
+    return F.when(F.rlike(run, F.lit(rule)), F.array_join(pieces, "")).otherwise(run)
+
+
+def _windows(codes: Column, size: int, bits: Column) -> Column:
     """Merged (start, stop) of the windows of an array of character codes with so many bits or more."""
     powers = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(size + 2)])
     # entropy = log2(size) - sum / size >= bits, with a little room for rounding
-    most = size * (math.log2(size) - bits) + 1e-9
+    most = (F.lit(math.log2(size)) - bits) * size + 1e-9
     none = F.array().cast("array<struct<start:int,stop:int>>")
     start = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), none.alias("spans"))
 
@@ -135,16 +145,17 @@ def _entropy(text: Column, of: CharacterClass, allowed: Sequence[str]) -> Column
     """Spans (start, stop) of the class's windows of high entropy."""
     any_of = f"0-9{of.letters}"
 
-    def suspect(run: Column) -> Column:
-        return ~reduce(or_, (F.rlike(run["value"], F.lit(rule)) for rule in allowed), F.lit(False))
-
-    pattern = f"(?<![{any_of}])(?=[{any_of}]{{{of.window}}})[{of.letters}]*+[0-9][{any_of}]*+"
-    runs = F.filter(_found(text, pattern, 0, of.window), suspect)
-    found = F.transform(runs, lambda r: let(
-        F.transform(F.split(r["value"], ""), lambda c: F.ascii(c)),
-        lambda codes: F.transform(_windows(codes, of.window, of.bits), lambda w: F.struct(
-            (w["start"] + r["start"]).alias("start"), (w["stop"] + r["start"]).alias("stop")))))
-    return F.flatten(found)
+    def spans(run: Column) -> Column:
+        value = run["value"]
+        bits = F.when(F.rlike(value, F.lit("[0-9]")), of.bits).otherwise(of.letter_bits)
+        blanked = reduce(lambda v, rule: let(v, lambda x: _blanked(x, rule)), allowed, value)
+        left = F.filter(F.transform(F.split(blanked, ""), lambda c, i: F.struct(
+            F.ascii(c).alias("code"), (i + run["start"]).alias("at"))), lambda c: c["code"] != 32)
+        return let(left, lambda c: F.transform(_windows(c["code"], of.window, bits), lambda w: F.struct(
+            F.get(c["at"], w["start"]).alias("start"), (F.get(c["at"], w["stop"] - 1) + 1).alias("stop"))))
+
+    pattern = f"(?<![{any_of}])[{any_of}]{{{of.window},}}+"
+    return F.flatten(F.transform(_found(text, pattern, 0, of.window), spans))
 
 
 def scan_secrets(
