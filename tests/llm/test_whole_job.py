@@ -1,9 +1,12 @@
 """Cases that the operators once did by less than the whole."""
 
+import random
 import re
 
+import zstandard
+
 from tests.llm import brute
-from tradeloom.llm import secret_scan
+from tradeloom.llm import secret_scan, substring_dedup
 
 OPENSSH = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW"
 KEY = "q9Xz3LmT7vRk2WbN8pYcD4hJ"
@@ -44,3 +47,23 @@ def test_secrets_beside_allowed_parts(spark):
     assert got == {i: _letters_apart(t) for i, t in rows}
     assert all(got[i] for i in range(len(found)))
     assert not any(got[i] for i in range(len(found), len(rows)))
+
+
+def test_hot_minimiser_is_dealt_apart(spark):
+    """A passage that each text embeds in its own words, and a phrase that many texts hold, fill no single bucket."""
+    rnd = random.Random(7)
+
+    def own(n):
+        return [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+
+    passage, phrase = own(90), own(5)
+    rows = [(i, " ".join([*own(40), *(passage if i % 3 == 0 else phrase), *own(40)])) for i in range(600)]
+    rows += [(900, rows[0][1]), (901, " ".join([*own(3), *rows[1][1].split()[20:70]])), (None, rows[2][1])]
+    bucket_bytes = 4 << 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    held, unpack = {}, zstandard.ZstdDecompressor()
+    for r in substring_dedup._packed(docs, 35, 5, bucket_bytes).where("bucket >= 0").collect():
+        held.setdefault(r.bucket, set()).update(unpack.decompress(r.texts).split(b"\n"))
+    assert max(sum(map(len, x)) for x in held.values()) <= substring_dedup.HOT * bucket_bytes
+    got = substring_dedup.remove_repeats(docs, bucket_bytes=bucket_bytes).select("doc_id", "n_words", "n_removed", "kept")
+    assert brute.by_text(got.collect()) == brute.by_text(brute.repeats_removed(rows, 35))

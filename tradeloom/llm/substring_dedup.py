@@ -7,8 +7,12 @@ fingerprint are compared word by word, so the count is exact.
 
 Within a batch, equal super-k-mers are sent once, marked as repeated; their own windows are known to
 repeat and are reported without a detour. A passage that a third of all rows share so comes to its
-bucket once a batch of texts, and there it is held once. Buckets follow from the corpus's size in
-bytes; a batch packs a bucket's strings as one compressed row. Reported ranges are merged per document, and each text is rebuilt once.
+bucket once a batch of texts, and there it is held once. At its edges, and around a frequent phrase,
+super-k-mers reach into each text's own words and differ. So the bytes that come to each bucket are
+counted first; a bucket above ``HOT`` times the average is dealt by the fingerprints of single windows
+to as many buckets as these fill. Equal windows still meet, and no bucket grows with one minimiser.
+Buckets follow from the corpus's size in bytes; a batch packs a bucket's strings as one compressed row.
+Reported ranges are merged per document, and each text is rebuilt once.
 
 Null texts have no words. Rows that repeat id and text are told apart: each is another place of
 the same windows. Texts shorter than a window are left as they are. An empty table gives an empty
@@ -33,6 +37,8 @@ WINDOW = 35
 MINIMISER = 5
 #: Packed bytes a bucket holds on average.
 BUCKET_BYTES = 6 << 20
+#: A bucket with so many times these bytes is dealt by single windows.
+HOT = 4
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -121,6 +127,39 @@ def _super_kmers(words: Words, hasher: Hasher, window: int, minimiser: int) -> t
     return at[new], np.diff(np.append(new, len(at))), text[new], low[new]
 
 
+def _loads(docs: DataFrame, buckets: int, window: int, minimiser: int) -> DataFrame:
+    """Bytes that come to each bucket: bucket, ``held`` as super-k-mers, ``apart`` as single windows."""
+    def loaded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, held, apart = Hasher(), np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64)
+        for batch in batches:
+            for group in groups_of(v or "" for v in batch.column(0).to_pylist()):
+                words = Words([b" ".join(t.encode().split()) for t in group], hasher)
+                first, count, _, low = _super_kmers(words, hasher, window, minimiser)
+                last = first + count + window - 1
+                sole = np.sort(np.unique(hasher.stretches(words.hash, first, last), return_index=True)[1])
+                size = words.ends[last[sole] - 1] - words.starts[first[sole]]
+                bucket, n = (mixed(low[sole]) % np.uint64(buckets)).astype(np.int64), count[sole]
+                np.add.at(held, bucket, size)
+                np.add.at(apart, bucket, size * n * window // (n + window - 1))
+        own = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(own, pa.int64()), pa.array(held[own]), pa.array(apart[own])], names=["bucket", "held", "apart"])
+
+    counted = docs.select("text").mapInArrow(loaded, "bucket long, held long, apart long")
+    return counted.groupBy("bucket").agg(F.sum("held").alias("held"), F.sum("apart").alias("apart"))
+
+
+def _apart(docs: DataFrame, buckets: int, window: int, minimiser: int,
+           bucket_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each bucket the first of the buckets that its windows are dealt to, and how many; none if it is not hot."""
+    begin, ways, upto = np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64), buckets
+    hot = _loads(docs, buckets, window, minimiser).where(F.col("held") > HOT * bucket_bytes)
+    for r in sorted(hot.collect()):  # fewer rows than buckets
+        begin[r["bucket"]], ways[r["bucket"]] = upto, -(-r["apart"] // bucket_bytes)
+        upto += int(ways[r["bucket"]])
+    return begin, ways
+
+
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(ranges):
@@ -164,15 +203,15 @@ def _ranges_in(strings: list[bytes], sole: np.ndarray, hasher: Hasher, window: i
             yield int(text[f]), int(at[f] - words.start[text[f]]), n
 
 
-def repeated_ranges(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER,
-                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Ranges of words to remove: doc_id, text_key (xxhash64 of the text), from_word, to_word (exclusive); may overlap."""
+def _packed(docs: DataFrame, window: int, minimiser: int, bucket_bytes: int) -> DataFrame:
+    """The packed strings of each batch and bucket, a bucket's rows in one partition and together."""
     spark = docs.sparkSession
     read = docs.select("doc_id", F.xxhash64(text_of()).alias("text_key"), "text")
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).head()[0] or 0
     # Super-k-mers take about three times the text.
     buckets = max(1, -(-3 * total // bucket_bytes))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets // 8)
+    begin, ways = _apart(docs, buckets, window, minimiser, bucket_bytes)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (buckets + int(ways.sum())) // 8)
     names = [f.split()[0] for f in _ROW.split(", ")]
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,12 +224,21 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
                 done += len(group)
                 words = Words([b" ".join(t.encode().split()) for t in group], hasher)
                 first, count, text, low = _super_kmers(words, hasher, window, minimiser)
+                bucket = (mixed(low) % np.uint64(buckets)).astype(np.int64)
+                hot = ways[bucket] > 0
+                if hot.any():
+                    n = count[hot]
+                    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[hot], n)
+                    own_begin, own_ways = np.repeat(begin[bucket[hot]], n), np.repeat(ways[bucket[hot]], n)
+                    salt = mixed(hasher.stretches(words.hash, at, at + window)) % own_ways.astype(np.uint64)
+                    bucket = np.concatenate([bucket[~hot], own_begin + salt.astype(np.int64)])
+                    first, text = np.concatenate([first[~hot], at]), np.concatenate([text[~hot], np.repeat(text[hot], n)])
+                    count = np.concatenate([count[~hot], np.ones_like(at)])
                 seen: dict[bytes, list[int]] = {}
                 a, b = words.starts[first].tolist(), words.ends[first + count + window - 2].tolist()
                 for i, (x, y) in enumerate(zip(a, b, strict=True)):
                     seen.setdefault(words.raw[x:y], []).append(i)
                 place = first - words.start[text]
-                bucket = (mixed(low) % np.uint64(buckets)).astype(np.int64)
                 by_bucket: dict[int, tuple[list, list]] = {}
                 local: dict[int, list[tuple[int, int]]] = {}
                 for string, members in seen.items():
@@ -218,6 +266,13 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names)
 
+    return read.mapInArrow(dealt, _ROW).repartition(parts, "part").sortWithinPartitions("bucket")
+
+
+def repeated_ranges(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER,
+                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Ranges of words to remove: doc_id, text_key (xxhash64 of the text), from_word, to_word (exclusive); may overlap."""
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, unpack = Hasher(), zstandard.ZstdDecompressor()
 
@@ -265,7 +320,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
                     yield out(table[:, :3], table[:, 3], table[:, 4])
         yield from finish()
 
-    packed = read.mapInArrow(dealt, _ROW).repartition(parts, "part").sortWithinPartitions("bucket")
+    packed = _packed(docs, window, minimiser, bucket_bytes)
     return packed.mapInArrow(counted, "doc_id long, text_key long, from_word int, to_word int")
 
 
