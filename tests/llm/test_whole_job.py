@@ -6,7 +6,8 @@ import re
 import zstandard
 
 from tests.llm import brute
-from tradeloom.llm import secret_scan, substring_dedup
+from tradeloom.llm import secret_scan, substring_dedup, warc_files
+from tradeloom.llm.common import new_folder
 
 OPENSSH = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW"
 KEY = "q9Xz3LmT7vRk2WbN8pYcD4hJ"
@@ -67,3 +68,21 @@ def test_hot_minimiser_is_dealt_apart(spark):
     assert max(sum(map(len, x)) for x in held.values()) <= substring_dedup.HOT * bucket_bytes
     got = substring_dedup.remove_repeats(docs, bucket_bytes=bucket_bytes).select("doc_id", "n_words", "n_removed", "kept")
     assert brute.by_text(got.collect()) == brute.by_text(brute.repeats_removed(rows, 35))
+
+
+def test_shards_are_cut_within_a_page_id(spark):
+    """Pages without an id, or of one id, are dealt to many shards."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 2**60 + i, None if i % 30 == 0 else f"http://h/{i}", f"{i:05d}" * 40)
+            for i in range(300)]
+    rows += [(None, None, rows[0][2]), (7, "http://h/1", rows[1][2]), (7, "http://h/1", rows[1][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    made = []
+    for parts in (1, 5):
+        folder = new_folder(spark, "warc")
+        manifest = warc_files.write_warc(pages.repartition(parts), folder, 0, 2000, 1 << 20).collect()
+        made.append(sorted(map(tuple, manifest)))
+        assert len({r.shard for r in manifest}) >= 28 and max(r.records for r in manifest) <= 14
+        got = warc_files.read_warc(spark, folder)
+        assert sorted(map(str, (r.page_id for r in got.collect()))) == sorted(str(p) for p, _, _ in rows)
+        assert got.where("record_type = 'response'").count() == 300
+    assert made[0] == made[1]

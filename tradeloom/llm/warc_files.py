@@ -1,7 +1,8 @@
 """A deterministic sharded WARC writer, and its reader.
 
-Records are sorted by page_id. Shards are cut where the running sum of payload bytes passes a
-multiple of ``shard_bytes``, so they depend on the rows alone and not on how Spark dealt them.
+Records are sorted by page_id, url and digest. Shards are cut where the running sum of payload bytes
+passes a multiple of ``shard_bytes``, also among null and repeated page_ids, so they depend on the rows
+alone and not on how Spark dealt them. Only rows equal in all three stay in one shard.
 Within a shard files roll at a compressed size. Headers, record ids and digests are made anew from
 the rows; dates are a parameter. A task writes each file under a temporary name and renames it when
 it is whole; the manifest, a Parquet table written last, lists the files that count. A lost task
@@ -22,10 +23,10 @@ import hashlib
 import os
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
@@ -90,6 +91,11 @@ def _place(uri: str) -> tuple[fs.FileSystem, str]:
                                   not uri.startswith("file://") else uri)
 
 
+def _rank(page_id: int | None, url: str | None, digest: str) -> tuple:
+    """Sorts as Spark sorts the three, nulls first."""
+    return page_id is not None, page_id or 0, url is not None, url or "", digest
+
+
 class _Shard:
     """Writes one shard's files; finished files are listed in ``done``."""
 
@@ -133,20 +139,22 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int =
     first = read.where(F.col("size") >= least).groupBy("digest").agg(F.min(order).alias("f"), F.count("*").alias("n"))
     first = keep(first.where("n > 1").select(
         "digest", F.col("f.page_id").alias("first_id"), F.col("f.url").alias("first_url")), "first")
-    keys = keep(stamped(read.select("page_id", "size"), ["page_id"], "size", "before"), "keys")
+    by = ["page_id", "url", "digest"]
+    keys = keep(stamped(read.select(*by, "size"), by, "size", "before"), "keys")
     shards = (settled(keys, "size", "before").groupBy(F.floor(F.col("before") / shard_bytes).alias("shard"))
-              .agg(F.min("page_id").alias("from_id")).where("shard > 0 and from_id is not null"))
-    begins = np.unique(np.array([r["from_id"] for r in shards.collect()], dtype=np.int64))  # one row per shard
+              .agg(F.min(F.struct(*by)).alias("begin")).where("shard > 0"))
+    begins = sorted({_rank(*r["begin"]) for r in shards.collect()})  # one row per shard
 
     @F.pandas_udf("long")
-    def shard_of(page_id: pd.Series) -> pd.Series:
-        known = page_id.notna()
-        return pd.Series(np.where(known, np.searchsorted(begins, page_id.fillna(0).astype("int64"), side="right"), 0))
+    def shard_of(page_id: pd.Series, url: pd.Series, digest: pd.Series) -> pd.Series:
+        # ids come as text: a column of numbers with nulls would be one of floats
+        return pd.Series([bisect_right(begins, _rank(None if p is None else int(p), u, d))
+                          for p, u, d in zip(page_id, url, digest, strict=True)], dtype="int64")
 
     shared = F.col("n").isNotNull()
     same = F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("url").eqNullSafe(F.col("first_url"))
     rows = read.join(first.withColumn("n", F.lit(True)), "digest", "left").select(
-        shard_of("page_id").alias("shard"), "page_id", "url", "digest", "size",
+        shard_of(F.col("page_id").cast("string"), "url", "digest").alias("shard"), "page_id", "url", "digest", "size",
         F.when(~(shared & ~same), F.col("html")).alias("html"), shared.alias("shared"), "first_id", "first_url")
     # A task a shard: hashed shards would meet in some tasks and leave others empty.
     dealt = rows.repartitionById(len(begins) + 1, F.col("shard").cast("int")).sortWithinPartitions(
