@@ -115,3 +115,111 @@ def base32(payload: bytes) -> str:
 
 def by_text(rows):
     return sorted(map(tuple, rows), key=str)
+
+
+def planted_words(text, doc_id):
+    """Words of a text with the repetition that the hash of its doc_id plants."""
+    w = words(text)
+    if doc_id is None or not w:
+        return w
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def all_runs(seq):
+    """Every maximal stretch of exponent two or more with its smallest period, by trying all periods."""
+    n, out = len(seq), set()
+    for q in range(1, n // 2 + 1):
+        k = 0
+        while k < n - q:
+            if seq[k] != seq[k + q]:
+                k += 1
+                continue
+            j = k
+            while j < n - q and seq[j] == seq[j + q]:
+                j += 1
+            s, length = k, j - k + q
+            part = seq[s:s + length]
+            if length >= 2 * q and min(r for r in range(1, q + 1) if part[r:] == part[:-r]) == q:
+                out.add((s, length, q))
+            k = j
+    return sorted(out)
+
+
+def periodic(text, doc_id):
+    w = planted_words(text, doc_id)
+    runs = sorted((r for r in all_runs(w) if r[1] >= max(6, 4 * r[2])), key=lambda r: (r[0], r[2]))
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else None
+    head = (best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4
+    listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+    return (doc_id, len(runs), *head, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def license_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(str.maketrans(
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+
+
+def _template_items(template):
+    """Template as (kind, value) items: word, slot, or optional with its items."""
+    out, stack, at = [], [[]], 0
+    for m in re.finditer(r"\[\[|\]\]|<<[^>]*>>", template):
+        stack[-1].extend(("word", w) for w in license_words(template[at:m.start()]))
+        at = m.end()
+        if m.group() == "[[":
+            stack.append([])
+        elif m.group() == "]]":
+            inner = stack.pop()
+            stack[-1].append(("optional", inner))
+        else:
+            stack[-1].append(("slot", None))
+    stack[-1].extend(("word", w) for w in license_words(template[at:]))
+    out = stack[0]
+    return out
+
+
+def _pattern(items, slot, upto=None):
+    """A regular expression over words joined by single spaces; ``upto`` mandatory words at most."""
+    parts, count = [], 0
+    for kind, value in items:
+        if upto is not None and count == upto:
+            break
+        if kind == "word":
+            parts.append(re.escape(value) + " ")
+            count += 1
+        elif kind == "slot":
+            parts.append(f"(?:\\S+ ){{1,{slot}}}")
+        else:
+            parts.append(f"(?:{_pattern(value, slot)})?")
+    return "".join(parts)
+
+
+def licenses(text, base, templates, slot):
+    w = license_words(text)
+    joined = "".join(x + " " for x in w)
+    offsets, at = [], 0
+    for x in w:
+        offsets.append(at)
+        at += len(x) + 1
+    places = sorted((i, label) for phrase, label in base for i in range(len(w))
+                    if w[i:i + len(phrase.split())] == phrase.split())
+    labels, score = {label for _, label in places}, 0.0
+    for label, template in templates:
+        items = _template_items(template)
+        mandatory = sum(1 for k, _ in items if k == "word")
+        if any(re.compile(_pattern(items, slot)).match(joined, o) for o in offsets):
+            labels.add(label)
+        for k in range(mandatory, 0, -1):
+            if any(re.compile(_pattern(items, slot, k)).match(joined, o) for o in offsets):
+                score = max(score, k / mandatory)
+                break
+    starts = [i for i, _ in places]
+    return (len(w), len(places), min(starts, default=None), max(starts, default=None),
+            ",".join(sorted({lb for _, lb in places})), ",".join(sorted(labels)), score)

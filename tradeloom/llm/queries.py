@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm import (
     exact_dedup,
+    fill_middle,
+    license_scan,
     mixing,
     near_dedup,
     packing,
+    periodic_runs,
     quality_ledger,
     secret_scan,
     substring_dedup,
@@ -103,6 +106,22 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_documents(spark, folder))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+                        "collapsed_sha256")
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(_documents(spark, folder))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan_licenses(_documents(spark, folder)))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if top not in sys.path:
@@ -115,7 +134,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_secret_scan, op2_token_files, op3_mixing, op4_substring_dedup, op5_quality_ledger, op6_exact_dedup,
-        op7_near_dedup, op8_packing, op9_token_counts, op10_warc, pipeline)}
+        op7_near_dedup, op8_packing, op9_token_counts, op10_warc, op11_periodic_runs, op12_fill_in_middle,
+        op13_license_scan, pipeline)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -158,6 +178,27 @@ b as (select *, case when n_words < 20 then 1 else 0 end + case when 100 * n_rep
   + case when 100 * up > 60 * n_words then 64 else 0 end as failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 as base_failed,
   failed = 0 as kept, failed::bigint as failed from b""",
+        "op12_fill_in_middle": r"""
+with d as (select doc_id, coalesce(text, '') as t, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as hx
+  from documents),
+h as (select doc_id, t, ('0x' || substr(hx, 1, 8))::ubigint as h1, ('0x' || substr(hx, 9, 8))::ubigint as h2,
+  ('0x' || substr(hx, 17, 8))::ubigint as h3, ('0x' || substr(hx, 25, 8))::ubigint as h4,
+  length(t) - length(replace(t, chr(10), '')) as nl, string_split(t, chr(10)) as parts from d),
+c as (select *, nl + case when t <> '' and right(t, 1) <> chr(10) then 1 else 0 end as n,
+  t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 100 as plain from h),
+k as (select *, least(h1 % (n + 1), h2 % (n + 1)) as k1, greatest(h1 % (n + 1), h2 % (n + 1)) as k2 from c),
+b as (select *,
+  case when k1 = 0 then 0 else least(length(array_to_string(list_slice(parts, 1, k1), chr(10))) + 1, length(t)) end as b1,
+  case when k2 = 0 then 0 else least(length(array_to_string(list_slice(parts, 1, k2), chr(10))) + 1, length(t)) end as b2
+  from k),
+o as (select *, substr(t, 1, b1) as p, substr(t, b1 + 1, b2 - b1) as m, substr(t, b2 + 1) as s from b)
+select doc_id, n::bigint as n, case when plain then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form,
+  (case when plain then null else b1 end)::bigint as prefix_chars,
+  (case when plain then null else b2 - b1 end)::bigint as middle_chars,
+  sha256(case when plain then t when h4 % 100 < 50 then '<S>' || s || '<P>' || p || '<M>' || m
+    else '<P>' || p || '<S>' || s || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from o""",
         "op6_exact_dedup": """
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
   doc_id is not distinct from max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256
