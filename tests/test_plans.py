@@ -29,10 +29,14 @@ def without_broadcast(spark):
         spark.conf.unset(s)
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", registered.reports())
 def test_no_cross_join_and_no_forced_broadcast(without_broadcast, small_data, name):
-    """Every join has keys and a way that needs no broadcast."""
-    plan = physical(registered.queries()[name](without_broadcast, small_data))
+    """Every join of a report has keys and a way that needs no broadcast.
+
+    The training-data operators are checked in their own tests: they store stages before the last
+    plan is made, and some broadcast a side whose size they have counted first.
+    """
+    plan = physical(registered.reports()[name](without_broadcast, small_data))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "BroadcastHashJoin" not in plan
