@@ -211,15 +211,19 @@ def licenses(text, base, templates, slot):
     places = sorted((i, label) for phrase, label in base for i in range(len(w))
                     if w[i:i + len(phrase.split())] == phrase.split())
     labels, score = {label for _, label in places}, 0.0
+    starts_all = offsets
     for label, template in templates:
+        offsets = starts_all
         items = _template_items(template)
         mandatory = sum(1 for k, _ in items if k == "word")
         if any(re.compile(_pattern(items, slot)).match(joined, o) for o in offsets):
             labels.add(label)
-        for k in range(mandatory, 0, -1):
-            if any(re.compile(_pattern(items, slot, k)).match(joined, o) for o in offsets):
-                score = max(score, k / mandatory)
+        for k in range(1, mandatory + 1):  # a longer prefix of the template matches only where a shorter one does
+            pattern = re.compile(_pattern(items, slot, k))
+            offsets = [o for o in offsets if pattern.match(joined, o)]
+            if not offsets:
                 break
+            score = max(score, k / mandatory)
     starts = [i for i, _ in places]
     return (len(w), len(places), min(starts, default=None), max(starts, default=None),
             ",".join(sorted({lb for _, lb in places})), ",".join(sorted(labels)), score)
