@@ -10,7 +10,7 @@ from tests.tiny import calendar, day, line, rows, shop, tiny_model, voucher
 from tradeloom.functions.measures import cases, cases_or_none, units, whole
 from tradeloom.operators import calendar as cal
 from tradeloom.operators.claims import claims_vs_sales
-from tradeloom.operators.hierarchy import user_hierarchy
+from tradeloom.operators.hierarchy import register_user_hierarchy, user_hierarchy
 from tradeloom.params import ClaimKind, ClaimRequest, DashboardScope, OutletRequest, StockRequest
 from tradeloom.plans.billwise import claim_billwise
 from tradeloom.plans.brands import brand_contribution
@@ -256,6 +256,25 @@ def test_hierarchy_cuts_inactive_branches_and_repeats_no_node(sales):
     assert [r["id"] for r in rows(user_hierarchy(sales, type="user "))] == ["U2"]
 
 
+def test_hierarchy_as_sql_table_function_equals_the_dataframe_call(sales):
+    spark = sales.sales_node.sparkSession
+    name = register_user_hierarchy(sales)
+
+    def same(query, **arguments):
+        expected = user_hierarchy(sales, **arguments)
+        got = spark.sql(query)
+        assert got.columns == expected.columns
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+        return len(got.collect())
+
+    assert same(f"SELECT * FROM {name}()") == 3
+    assert same(f"SELECT * FROM {name}('user ')", type="user ") == 1
+    assert same(f"SELECT * FROM {name}(id => ' t1')", id=" t1") == 2
+    assert same(f"SELECT * FROM {name}(type => 'USER', id => 'T1')", type="USER", id="T1") == 0
+    assert same(f"SELECT * FROM {name}(id => ' %')", id=" %") == 3
+    assert spark.sql(f"SELECT * FROM {name}(NULL)").count() == 0
+
+
 def test_restricted_sums_repeat_per_account(sales):
     def year(**more):
         return {r["sku"]: r["ytd"] for r in rows(top_skus(sales, DashboardScope(SCOPE.date, **more)))}

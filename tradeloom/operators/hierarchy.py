@@ -39,6 +39,41 @@ def user_hierarchy(model: Model, type: str = ALL, id: str = ALL) -> DataFrame:
     ).distinct()
 
 
+def register_user_hierarchy(model: Model, name: str = "user_hierarchy") -> str:
+    """Register ``user_hierarchy`` as an SQL table function of the session.
+
+    ``SELECT * FROM user_hierarchy()``, ``user_hierarchy('USER')`` or
+    ``user_hierarchy(id => 'U2')`` give the rows of the DataFrame call with
+    the same arguments; both default to ``%`` (all).  As in the DataFrame
+    call, an argument is trimmed of blanks (space, tab, line breaks) and
+    upper-cased before it is compared; a null argument matches nothing.
+    The model's two tables are registered as temporary views named after
+    the function, so the function reads the same data as the model and
+    Catalyst plans its body like any other query (the walk is the same
+    recursive CTE).  Returns the function's name.
+    """
+    spark = model.sales_node.sparkSession
+    node, account = f"{name}__node", f"{name}__account"
+    model.sales_node.createOrReplaceTempView(node)
+    model.node_account.createOrReplaceTempView(account)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in user_hierarchy(model).schema.fields)
+    walk = WALK.format(node=node)
+
+    def matches(column: str, argument: str) -> str:
+        bare = f"regexp_replace({argument}, '^\\\\s+|\\\\s+$', '')"
+        return f"({bare} = '{ALL}' OR {column} = upper({bare}))"
+
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(type STRING DEFAULT '{ALL}', id STRING DEFAULT '{ALL}')
+        RETURNS TABLE ({columns})
+        RETURN SELECT DISTINCT r.node_id, r.node_name, r.node_code, r.division, r.node_type, r.parent_id,
+                      a.account_id, r.node_id, a.distributor_id
+        FROM ({walk}) AS r JOIN {account} AS a ON r.node_id = a.node_id
+        WHERE {matches("r.node_type", "type")} AND {matches("r.node_code", "id")}
+    """)
+    return name
+
+
 def distributors_in_scope(model: Model, scope: DashboardScope) -> DataFrame:
     """distributor_id and ``copies``: how often each of its vouchers counts.
 
