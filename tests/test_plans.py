@@ -10,6 +10,7 @@ from tradeloom.operators.facts import sold_units
 from tradeloom.params import ClaimRequest, DashboardScope
 from tradeloom.plans import top_ten
 from tradeloom.plans.claims import claim_summary
+from tradeloom.report import read_report
 from tradeloom.sources.erp import open_store, open_tables, read_erp_folder, store, store_tables
 from tradeloom.sources.model import CLAIM_TYPE_COLUMN, ERP_TABLES, Model
 from tradeloom.sources.retail import retail_model
@@ -117,4 +118,34 @@ def test_raw_export_is_normalised_once(spark, stored, tmp_path):
 def test_report_frames_are_written_by_name(spark, stored, tmp_path):
     request = ClaimRequest(day("1996-01-01"), day("2000-12-31"), claimtype=1)
     claim_summary(open_store(spark, stored), request).write(str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out" / "total")).count() == 1
+    assert read_report(spark, str(tmp_path / "out"))["total"].count() == 1
+
+
+def test_report_sink_commits_title_criteria_and_frames_at_once(spark, stored, tmp_path):
+    model = open_store(spark, stored)
+    folder = str(tmp_path / "sink")
+    with pytest.raises(FileNotFoundError):
+        read_report(spark, folder)
+    first = claim_summary(model, ClaimRequest(day("1996-01-01"), day("2000-12-31"), claimtype=1))
+    first.write(folder)
+    back = read_report(spark, folder)
+    assert (back.name, back.criteria, list(back.frames)) == (first.name, first.criteria, list(first.frames))
+    for frame, df in first.frames.items():
+        assert sorted(back[frame].collect()) == sorted(df.collect())
+    with pytest.raises(FileExistsError):
+        first.write(folder)
+
+    # An interrupted attempt: frames written, its manifest still uncommitted.
+    (tmp_path / "sink" / "attempt-zzz" / "total").mkdir(parents=True)
+    pending = tmp_path / "sink" / "_manifest" / "attempt-zzz" / "_temporary" / "0"
+    pending.mkdir(parents=True)
+    (pending / "part-0.json").write_text(
+        '{"name":"x","criteria":"x","attempt":"attempt-zzz","committed_at":9000000000000000000,"frames":["total"]}\n'
+    )
+    assert read_report(spark, folder).criteria == first.criteria
+
+    second = claim_summary(model, ClaimRequest(day("1998-01-01"), day("1998-12-31"), claimtype=1))
+    second.write(folder, mode="overwrite")
+    again = read_report(spark, folder)
+    assert again.criteria == second.criteria != first.criteria
+    assert sorted(again["detail"].collect()) == sorted(second["detail"].collect())
