@@ -242,6 +242,22 @@ def test_exact_index_is_persistent(spark, tmp_path):
     assert again.rows().count() == 3
 
 
+def test_exact_dedup_batch_run_twice_keeps_its_rows(spark):
+    index = exact_dedup.new_index(spark, 4)
+    batch = docs_of(spark, [(1, "a"), (2, "a"), (3, "b"), (3, "b")])
+    first = sorted(exact_dedup.drop_copies(batch, index).collect())
+    assert [r.doc_id for r in first] == [2, 3]
+    assert sorted(exact_dedup.drop_copies(batch, index).collect()) == first
+    again = exact_dedup.ingest(batch.orderBy(F.desc("doc_id")), index).collect()
+    assert sorted(r[:4] for r in again) == [(1, 2, 2, False), (2, 2, 2, True), (3, 3, 2, True), (3, 3, 2, True)]
+    assert index.rows().count() == 2
+    later = exact_dedup.ingest(docs_of(spark, [(4, "a"), (5, "c")]), index).collect()
+    assert sorted(r[:4] for r in later) == [(4, 2, 2, False), (5, 5, 1, True)]
+    named = exact_dedup.ingest(docs_of(spark, [(6, "d")]), index, batch="b1").collect()
+    assert exact_dedup.ingest(docs_of(spark, [(6, "d")]), index, batch="b1").collect() == named
+    assert [r.kept for r in named] == [True] and index.rows().count() == 4
+
+
 def test_exact_dedup_hot_groups(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup, "HOT", 3)
     rows = [(i, "same" if i % 2 else f"t{i // 4}") for i in range(40)]
