@@ -268,6 +268,14 @@ def test_exact_dedup_hot_groups(spark, monkeypatch):
         assert {r.group_size for r in got} == {20, 2}
 
 
+def test_near_dedup_refuses_percents_its_coordinates_cannot_serve():
+    assert [near_dedup.matches_for(p) for p in (24, 50, 80, 85, 90, 100)] == [1, 1, 24, 28, 32, 32]
+    assert all(near_dedup.miss_chance(p, near_dedup.matches_for(p)) <= near_dedup.MISS for p in range(24, 101))
+    for percent in (23, 10, 0, -1, 101):
+        with pytest.raises(ValueError):
+            near_dedup.matches_for(percent)
+
+
 def test_near_dedup(spark, odd, empty):
     rnd = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]

@@ -23,6 +23,7 @@ columns are ignored, and kept by :func:`drop_near_copies`.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,8 +51,26 @@ _SEEDS = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E37
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
+#: Largest chance that a pair just similar enough agrees in fewer coordinates than asked.
+MISS = 2.1e-6
+
+
+def miss_chance(percent: float, matches: int, coordinates: int = COORDINATES) -> float:
+    """Binomial chance that fewer than ``matches`` of ``coordinates`` agree at similarity ``percent``."""
+    p = percent / 100
+    return sum(math.comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k) for k in range(matches))
+
+
 def matches_for(percent: int) -> int:
-    return next(m for least, m in MATCHES if percent >= least)
+    """Agreeing coordinates a candidate needs; raises ValueError where 48 coordinates miss too many pairs.
+
+    Below 24 percent even one agreeing coordinate misses more than ``MISS`` of the pairs.
+    """
+    matches = next((m for least, m in MATCHES if percent >= least), 1)
+    if not 0 <= percent <= 100 or miss_chance(percent, matches) > MISS:
+        raise ValueError(f"{COORDINATES} coordinates cannot find pairs of {percent} percent with a miss chance"
+                         f" below {MISS}")
+    return matches
 
 
 def _sets(texts: list[str], size: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
