@@ -213,6 +213,27 @@ def test_quality_ablations(spark):
     assert got == {"few_words": (3, 2, 2, 4), "repeated_words": (2, 1, 2, 3)}
 
 
+@pytest.mark.parametrize("policy", sorted(quality_ledger.POLICIES))
+def test_quality_ablations_over_the_whole_small_table(spark, small_data, policy):
+    """Ablations by bit pattern against plain SQL row by row over the ledger of every small document."""
+    ledger = quality_ledger.evaluate(spark.read.parquet(f"{small_data}/documents.parquet"))
+    ledger.select("doc_id", "failed").createOrReplaceTempView("ledger_rows")
+    mask = quality_ledger.mask_of(policy)
+    bits = {r.name: 1 << r.bit for r in quality_ledger.RULES if r.name in quality_ledger.POLICIES[policy]}
+    plain = " UNION ALL ".join(f"""
+        SELECT '{name}' AS rule,
+               sum(CASE WHEN failed & {bit} != 0 THEN 1 ELSE 0 END) AS fail,
+               sum(CASE WHEN failed & {mask} = {bit} THEN 1 ELSE 0 END) AS fail_only,
+               sum(CASE WHEN failed & {mask} = 0 THEN 1 ELSE 0 END) AS kept,
+               sum(CASE WHEN failed & {mask & ~bit} = 0 THEN 1 ELSE 0 END) AS kept_without
+        FROM ledger_rows""" for name, bit in bits.items())
+    expected = sorted(tuple(r) for r in spark.sql(plain).collect())
+    got = sorted(tuple(r) for r in quality_ledger.ablations(ledger, policy).collect())
+    assert got == expected
+    assert ledger.count() == spark.read.parquet(f"{small_data}/documents.parquet").count()
+    assert all(row[3] == ledger.where(quality_ledger.passes(policy)).count() for row in got)
+
+
 def test_exact_dedup(spark, odd, empty):
     got = exact_dedup.ingest(odd, exact_dedup.new_index(spark, 4)).collect()
     groups = collections.defaultdict(list)
