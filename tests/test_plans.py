@@ -58,6 +58,14 @@ def test_print_layout_leaves_the_sales_out(spark, small_data):
     assert "FullOuter" not in typed and "FullOuter" in whole
 
 
+@pytest.mark.parametrize("name", [
+    "claims_vs_sales", "claim_pivot", "claim_print_breakage", "claim_billwise", "claim_summary_sales",
+])
+def test_claim_reports_read_the_lines_once(spark, small_data, name):
+    """The lines were joined and stored before; no branch of the report reads and deals them again."""
+    assert "l_orderkey" not in physical(registered.reports()[name](spark, small_data))
+
+
 @pytest.fixture(scope="module")
 def stored(spark, small_data, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("store") / "model")

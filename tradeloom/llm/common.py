@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeloom.stored import keep, new_folder, shared_folder  # noqa: F401
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -41,32 +41,6 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, top]))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see, as ``spark.checkpoint.dir`` names it.
-
-    A local session without the setting gets a temporary folder; a cluster without it is an error.
-    """
-    context = spark.sparkContext
-    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not found:
-        if not context.master.startswith("local[") and context.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tradeloom-"))
-        found = context.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def keep(frame: DataFrame, name: str) -> DataFrame:
-    """Write the frame to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark, path = frame.sparkSession, new_folder(frame.sparkSession, name)
-    frame.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
-
-
 def small(frame: DataFrame, most: int) -> bool:
     """Whether a stored frame has at most so many rows, so that it may be broadcast."""
     return frame.limit(most + 1).count() <= most

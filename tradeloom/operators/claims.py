@@ -7,6 +7,7 @@ quantity at the complementary rate.  Credit notes name the bill they return.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +18,13 @@ from tradeloom.operators.facts import CREDIT_NOTE, HOME_CENTRE, SALE
 from tradeloom.operators.pricing import piece_rates, supplied_products
 from tradeloom.params import ClaimRequest
 from tradeloom.sources.model import Model
+from tradeloom.stored import keep
 
 # The claim types the summary reports know.
 CLAIM_TYPES = ("PP", "OP", "NEV", "TVB", "TEX", "BC", "AC", "MKB")
 
 QUANTITY = "decimal(18,4)"
+MEASURES = ("qty_out", "alt_out", "qty_in", "alt_in")
 CLAIM_KEYS = ("voucher_no", "claim_type", "ref_no", "distributor_id", "party_id", "posted_on", "posted_at")
 
 
@@ -51,14 +54,37 @@ def claim_bills(
     )
 
 
+def lines_of(model: Model, headers: DataFrame) -> DataFrame:
+    """The headers with their vouchers' lines."""
+    return headers.join(model.sales_line.select("voucher_no", "product_id", "batch", *MEASURES), "voucher_no")
+
+
+def lines_read_once(model: Model, **headers: DataFrame) -> dict[str, DataFrame]:
+    """:func:`lines_of` for several header tables; the lines meet all of them in one join, which is stored.
+
+    A report that sums the lines of claims, sales and returns so reads and deals the lines once, not once for each.
+    """
+    tagged = [h.withColumn("role", F.lit(role)) for role, h in headers.items()]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    stored = keep(lines_of(model, every), "bill-lines")
+    return {
+        role: stored.filter(F.col("role") == role).select(*h.columns, "product_id", "batch", *MEASURES)
+        for role, h in headers.items()
+    }
+
+
 def claimed_goods(model: Model, request: ClaimRequest, claims: DataFrame) -> DataFrame:
     """Per claim bill, product and rate: units and case units given away.
 
     Only batches with a price count.
     """
-    lines = model.sales_line.select("voucher_no", "product_id", "batch", "qty_out", "alt_out")
+    return goods_given(model, request, lines_of(model, claims))
+
+
+def goods_given(model: Model, request: ClaimRequest, claim_lines: DataFrame) -> DataFrame:
+    """:func:`claimed_goods` from the claims' lines."""
     return (
-        claims.join(lines, "voucher_no")
+        claim_lines
         .join(piece_rates(model), ["product_id", "batch"])
         .join(supplied_products(model, request.acid), "product_id")
         .groupBy(*CLAIM_KEYS, "product_id", "exact_rate", "rate")
@@ -70,28 +96,37 @@ def _total(column: str, alias: str) -> Column:
     return F.sum(units(F.col(column)) * F.col("supplies")).alias(alias)
 
 
-def sales_by_bill(
+def sale_headers(
     model: Model, request: ClaimRequest, *extra_keys: str, named_by: DataFrame | None = None
 ) -> DataFrame:
-    """Units and case units sold per bill and product; claim bills are sales too.
-
-    ``named_by`` limits the bills to those its ``ref_no`` names.
-    """
+    """Sales bills, claim bills too; ``named_by`` limits them to those its ``ref_no`` names."""
     headers = bills(model, request, SALE).select(F.col("voucher_no"), F.col("voucher_no").alias("bill"), *extra_keys)
     if named_by is not None:
         headers = headers.join(named_by.select(F.col("ref_no").alias("bill")).distinct(), "bill", "left_semi")
-    return _by_bill(model, request, headers, ("qty_out", "sold"), ("alt_out", "sold_cases"), *extra_keys)
-
+    return headers
 
-def returned_units(model: Model, request: ClaimRequest, named_by: DataFrame | None = None) -> DataFrame:
-    """Units and case units returned per referenced bill and product.
 
-    ``named_by`` limits the bills to its ``voucher_no``.
-    """
+def return_headers(model: Model, request: ClaimRequest, named_by: DataFrame | None = None) -> DataFrame:
+    """Credit notes and the bill each refers to; ``named_by`` limits the bills to its ``voucher_no``."""
     headers = bills(model, request, CREDIT_NOTE).select("voucher_no", F.col("ref_no").alias("bill"))
     if named_by is not None:
         headers = headers.join(named_by.select(F.col("voucher_no").alias("bill")).distinct(), "bill", "left_semi")
-    return _by_bill(model, request, headers, ("qty_in", "returned"), ("alt_in", "returned_cases"))
+    return headers
+
+
+def units_sold(model: Model, request: ClaimRequest, sale_lines: DataFrame, *extra_keys: str) -> DataFrame:
+    """Units and case units sold per bill and product; claim bills are sales too."""
+    return _by_bill(model, request, sale_lines, ("qty_out", "sold"), ("alt_out", "sold_cases"), *extra_keys)
+
+
+def units_returned(model: Model, request: ClaimRequest, return_lines: DataFrame) -> DataFrame:
+    """Units and case units returned per referenced bill and product."""
+    return _by_bill(model, request, return_lines, ("qty_in", "returned"), ("alt_in", "returned_cases"))
+
+
+def returned_units(model: Model, request: ClaimRequest) -> DataFrame:
+    """Units and case units returned per referenced bill and product."""
+    return units_returned(model, request, lines_of(model, return_headers(model, request)))
 
 
 def returns_by_bill(model: Model, request: ClaimRequest) -> DataFrame:
@@ -104,22 +139,20 @@ def in_pieces(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _by_bill(
-    model: Model, request: ClaimRequest, headers: DataFrame, *measures_and_keys: tuple[str, str] | str
+    model: Model, request: ClaimRequest, lines: DataFrame, *measures_and_keys: tuple[str, str] | str
 ) -> DataFrame:
     measures = [m for m in measures_and_keys if not isinstance(m, str)]
     keys = ["bill", "product_id", *[k for k in measures_and_keys if isinstance(k, str)]]
-    summed = sums_by_bill(model, headers, keys, measures)
+    summed = sums_by_bill(lines, keys, measures)
     return summed.join(supplied_products(model, request.acid), "product_id").select(
         *keys, *[(F.col(name) * F.col("supplies")).alias(name) for _, name in measures]
     )
 
 
-def sums_by_bill(
-    model: Model, headers: DataFrame, keys: Sequence[str], measures: Sequence[tuple[str, str]]
-) -> DataFrame:
-    """Line quantities summed in units; ``headers`` say which bill a voucher's lines count for."""
-    lines = model.sales_line.select("voucher_no", "product_id", *[units(F.col(c)).alias(n) for c, n in measures])
-    return headers.join(lines, "voucher_no").groupBy(*keys).agg(*[F.sum(n).alias(n) for _, n in measures])
+def sums_by_bill(lines: DataFrame, keys: Sequence[str], measures: Sequence[tuple[str, str]]) -> DataFrame:
+    """Line quantities summed in units; ``bill`` says which bill a line counts for."""
+    return lines.select(*keys, *[units(F.col(c)).alias(n) for c, n in measures]).groupBy(*keys).agg(
+        *[F.sum(n).alias(n) for _, n in measures])
 
 
 def net_of(column: str, returned: str) -> Column:
@@ -131,21 +164,23 @@ def at_rate(units: Column) -> Column:
     return pieces(units).cast(QUANTITY) * F.col("rate").cast(QUANTITY)
 
 
-def net_claims(model: Model, request: ClaimRequest, headers: DataFrame, by_company: bool) -> DataFrame:
+def net_claims(
+    model: Model, request: ClaimRequest, claim_lines: DataFrame, return_lines: DataFrame, by_company: bool
+) -> DataFrame:
     """Claims net of returns, summed per referenced bill, product and type.
 
     ``claims`` counts them, ``amount`` is in cents.  A bill many claims refer to becomes one row per
     company and type, whatever is joined to it next.
     """
     owner = ["distributor_id"] if by_company else []
-    goods = claimed_goods(model, request, headers).withColumnRenamed("voucher_no", "bill")
+    goods = goods_given(model, request, claim_lines).withColumnRenamed("voucher_no", "bill")
     if by_company:
         # A company that is not listed counts as unknown.
         listed = model.distributor.select("distributor_id", F.col("distributor_id").alias("listed"))
         goods = goods.join(listed, "distributor_id", "left").drop("distributor_id").withColumnRenamed(
             "listed", "distributor_id"
         )
-    returned = returned_units(model, request, named_by=headers).select("bill", "product_id", "returned")
+    returned = units_returned(model, request, return_lines).select("bill", "product_id", "returned")
     net = net_of("given", "returned")
     return (
         goods.join(returned, ["bill", "product_id"], "left")
@@ -167,13 +202,19 @@ def claim_rows(
     then has one row per product, which can neither add nor repeat an amount.
     """
     headers = claim_bills(model, request, types or CLAIM_TYPES)
-    claims = net_claims(model, request, headers, by_company)
     if types and not by_company:
-        return claims.select("product_id", "claim_type", "amount")
+        lines = lines_read_once(model, claims=headers, returns=return_headers(model, request, named_by=headers))
+        return net_claims(model, request, lines["claims"], lines["returns"], by_company).select(
+            "product_id", "claim_type", "amount")
     owner = ["distributor_id"] if by_company else []
+    lines = lines_read_once(
+        model, claims=headers, returns=return_headers(model, request),
+        sales=sale_headers(model, request, *owner, named_by=headers if types else None),
+    )
+    claims = net_claims(model, request, lines["claims"], lines["returns"], by_company)
     sales = (
-        sales_by_bill(model, request, *owner, named_by=headers if types else None)
-        .join(returned_units(model, request).select("bill", "product_id", "returned_cases"),
+        units_sold(model, request, lines["sales"], *owner)
+        .join(units_returned(model, request, lines["returns"]).select("bill", "product_id", "returned_cases"),
               ["bill", "product_id"], "left")
         .select("bill", F.col("product_id").alias("sold_product"),
                 *[F.col(c).alias("sold_by") for c in owner], net_of("sold_cases", "returned_cases").alias("case_units"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.filters import between, in_list
 from tradeloom.functions.measures import MONEY, NET_RATE, RATE, TAX_RATE, UNTAXED_CLAIM, grossed_up, pieces, tax_on
-from tradeloom.operators.claims import at_rate, bills, claim_bills, claimed_goods, net_of, sums_by_bill
+from tradeloom.operators.claims import (
+    at_rate, bills, claim_bills, claimed_goods, goods_given, lines_of, lines_read_once, net_of, sums_by_bill,
+)
 from tradeloom.operators.facts import CREDIT_NOTE, SALE
 from tradeloom.params import ClaimRequest
 from tradeloom.report import Report, as_on
@@ -18,24 +20,29 @@ TYPE_ORDER = (("PP", 1), ("OP", 2), ("NEV", 3))
 OTHER_TYPES = 99
 
 
-def sales_of_claimed_bills(model: Model, request: ClaimRequest, claimed: DataFrame) -> DataFrame:
-    """Units and case units per bill and product, for bills named in ``claimed.ref_no``."""
+SOLD = (("qty_out", "sold"), ("alt_out", "sold_cases"))
+RETURNED = (("qty_in", "returned"), ("alt_in", "returned_cases"))
+
+
+def sales_headers(model: Model, request: ClaimRequest, claimed: DataFrame) -> DataFrame:
+    """Sales bills named in ``claimed.ref_no``."""
     wanted = claimed.select(F.col("ref_no").alias("voucher_no")).distinct()
-    headers = bills(model, request, SALE, home_only=False).join(wanted, "voucher_no", "left_semi").select(
+    return bills(model, request, SALE, home_only=False).join(wanted, "voucher_no", "left_semi").select(
         "voucher_no", F.col("voucher_no").alias("bill")
     )
-    return sums_by_bill(model, headers, ["bill", "product_id"], [("qty_out", "sold"), ("alt_out", "sold_cases")])
 
 
-def returns_of_claim_bills(model: Model, request: ClaimRequest, claimed: DataFrame) -> DataFrame:
-    """Units and case units returned per claim bill and product."""
+def sales_of_claimed_bills(model: Model, request: ClaimRequest, claimed: DataFrame) -> DataFrame:
+    """Units and case units per bill and product, for bills named in ``claimed.ref_no``."""
+    return sums_by_bill(lines_of(model, sales_headers(model, request, claimed)), ["bill", "product_id"], SOLD)
+
+
+def returns_headers(model: Model, request: ClaimRequest, claimed: DataFrame) -> DataFrame:
+    """Credit notes on claim bills."""
     wanted = claimed.select(F.col("voucher_no").alias("bill")).distinct()
-    headers = bills(model, request, CREDIT_NOTE, home_only=False).select(
+    return bills(model, request, CREDIT_NOTE, home_only=False).select(
         "voucher_no", F.col("ref_no").alias("bill")
     ).join(wanted, "bill", "left_semi")
-    return sums_by_bill(
-        model, headers, ["bill", "product_id"], [("qty_in", "returned"), ("alt_in", "returned_cases")]
-    )
 
 
 def claimed_goods_of_listed_types(model: Model, request: ClaimRequest) -> DataFrame:
@@ -47,8 +54,11 @@ def claim_billwise(model: Model, request: ClaimRequest) -> Report:
     claims = claim_bills(model, request, model.claim_type, home_only=False)
     # Bill numbers alone select the sales and returns to sum.  They include claim
     # bills whose goods have no price; the sums of those find no partner below.
-    sold = sales_of_claimed_bills(model, request, claims)
-    returned = returns_of_claim_bills(model, request, claims)
+    lines = lines_read_once(
+        model, claims=claims, sales=sales_headers(model, request, claims), returns=returns_headers(model, request, claims)
+    )
+    sold = sums_by_bill(lines["sales"], ["bill", "product_id"], SOLD)
+    returned = sums_by_bill(lines["returns"], ["bill", "product_id"], RETURNED)
     found = sold.select(F.col("bill").alias("ref_no"), F.col("bill").alias("ref_bill_no")).distinct()
     party = model.account.select(F.col("account_id").alias("party_id"), F.col("tax_no").alias("pan"),
                                  F.col("account_name").alias("party_name"))
@@ -56,7 +66,7 @@ def claim_billwise(model: Model, request: ClaimRequest) -> Report:
     place = model.product.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS places(claim_type, place)")
     net = net_of("given", "returned")
     facts = (
-        claimed_goods(model, request, claims)
+        goods_given(model, request, lines["claims"])
         .join(found, "ref_no", "left")
         .join(sold.withColumnRenamed("bill", "ref_bill_no"), ["ref_bill_no", "product_id"], "left")
         .join(returned.withColumnRenamed("bill", "voucher_no"), ["voucher_no", "product_id"], "left")
