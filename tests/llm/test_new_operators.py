@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,26 @@ def test_runs_of_random_sequences(seed):
         assert periodic_runs.find_runs(seq) == brute.all_runs(seq)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_stretches_hold_every_run_that_counts(seed):
+    """Trees are built for the stretches alone, and the runs of six words and four periods stay the same."""
+    rnd = random.Random(seed)
+    ids = [rnd.randrange(rnd.choice((2, 5, 9))) for _ in range(150)]
+    for _ in range(4):
+        a, p = rnd.randrange(140), rnd.randint(1, 4)
+        for i in range(a + p, min(150, a + rnd.randint(4, 30))):
+            ids[i] = ids[i - p]
+    parts = periodic_runs.stretches(np.array(ids))
+    found = sorted((at + s, n, p) for at, stop in parts for s, n, p in periodic_runs.find_runs(ids[at:stop])
+                   if n >= max(6, 4 * p))
+    assert found == [r for r in periodic_runs.find_runs(ids) if r[1] >= max(6, 4 * r[2])]
+
+
+def test_words_that_repeat_less_than_four_times_cut_a_text():
+    assert periodic_runs.stretches(np.arange(1000)) == []
+    assert periodic_runs.stretches(np.array([9, *[1, 2] * 4, 8, 7, *[3] * 5])) == [(1, 9)]
+
+
 def test_periodic_query(spark, small_data, given_rows):
     got = _rows(q.op11_periodic_runs(spark, small_data), q.op11_periodic_runs(spark, small_data).columns)
     assert got == sorted((brute.periodic(t, d) for d, t in given_rows), key=repr)
