@@ -115,6 +115,12 @@ def test_token_query(spark, small_data, given_rows, library):
     assert brute.by_text(q.op2_token_files(spark, small_data).collect()) == brute.by_text(expected)
 
 
+def test_token_checksums_need_no_second_python_stage(spark, small_data):
+    """One worker a task decodes; the CRC-32 of its ids is Spark's own."""
+    plan = q.op2_token_files(spark, small_data)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 10**9), min_size=1, max_size=300), st.integers(3, 12), st.randoms())
 def test_huffman_round_trip(counts, longest, rnd):
