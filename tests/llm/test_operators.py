@@ -339,6 +339,33 @@ def test_near_dedup_by_second_round(spark):
     assert {(r.doc_id, r.component_id) for r in got} == {(d, c) for d, _, c in brute.near(rows, 3, 85)}
 
 
+@pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
+def test_near_dedup_makes_few_pairs_in_a_group_just_too_far_apart(spark, monkeypatch, size, percent):
+    """Pairs stay in proportion to the members, and links between single outlying members are still found."""
+    rnd = random.Random(9)
+    base, rows, made = [f"w{i}" for i in range(150)], [], []
+    for i in range(360):
+        text = list(base)
+        for at in rnd.sample(range(150), 4 + i % 5):
+            text[at] = f"x{rnd.randrange(60)}"
+        rows.append((len(rows), " ".join(text)))
+        if i % 9 == 0:
+            text[rnd.randrange(150)] = "y"
+            rows.append((len(rows), " ".join(text)))
+    kept = near_dedup.keep
+
+    def counted(frame, name):
+        out = kept(frame, name)
+        if name in ("agreed", "pairs"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "keep", counted)
+    got = near_dedup.near_components(docs_of(spark, rows), size, percent).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(d, c) for d, _, c in brute.near(rows, size, percent)}
+    assert made[-1] < 2 * len(rows)
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1100)]

@@ -9,9 +9,9 @@ prefix of a class is merged, its long lists are skipped and looked up in the sig
 Lists are merged in rounds. The first pairs each member with its list's smallest member; pairs
 that agree in enough coordinates are confirmed on the full shingle sets and joined into components.
 HUB_ROUNDS more rounds pair the members with another member drawn by hash for each list, where the
-two still lie in different components. The last round pairs all members of a list that lie in
-different components, but for those whose sets cannot be similar enough: a shingle that no other
-such member has is in no intersection, which bounds the similarity. A group of copies so costs some
+two still lie in different components. The last round merges what the members of a list that lie in
+different components have unlike the centre of their group: near copies just too far apart to link
+have few of these differences in common, while a link needs many. A group of copies so costs some
 pairs a member, not all pairs, and no link between components is lost.
 
 Null texts and texts without a word have an empty set and are linked with nothing. A text with
@@ -46,6 +46,8 @@ KEYS = 1_000_000
 
 #: Rounds with hubs drawn by hash.
 HUB_ROUNDS = 2
+#: Members from which a group has a centre.
+LARGE = 16
 
 _SEEDS = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -183,10 +185,8 @@ def _full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
     return keep(made.groupBy("node").agg(F.first("shingles").alias("shingles")), f"{name}-sets")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int, name: str) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    made = _full_sets(nodes, docs, classes, size, name)
+def _confirmed(pairs: DataFrame, made: DataFrame, percent: int, name: str) -> DataFrame:
+    """The pairs whose full shingle sets, given in ``made``, are similar enough."""
     joined = pairs.join(made.withColumnsRenamed({"node": "a", "shingles": "s_a"}), "a").join(
         made.withColumnsRenamed({"node": "b", "shingles": "s_b"}), "b").select("a", "b", "s_a", "s_b")
 
@@ -202,19 +202,110 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
     return keep(joined.mapInArrow(similar, "a long, b long"), f"{name}-links")
 
 
-def _common(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """node and ``common``: how many shingles of its full set another of the nodes has too."""
+def _opened(sets: DataFrame, column: str, more: str = "") -> DataFrame:
+    """A row for each number in ``column``, named item, with node and the columns ``more`` (all long)."""
+    names = ["node", *more.split()]
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = batch.column(1).to_pylist()
-            node = np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in sets])
-            shingle = np.frombuffer(b"".join(sets), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(shingle)], names=["node", "shingle"])
+            found = batch.column(len(names)).to_pylist()
+            times = [len(x) // 8 for x in found]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.repeat(batch.column(i).to_numpy(), times)) for i in range(len(names))),
+                 pa.array(np.frombuffer(b"".join(found), dtype=np.int64))], names=[*names, "item"])
+
+    return sets.select(*names, column).mapInArrow(opened, "".join(f"{n} long, " for n in names) + "item long")
+
+
+def _differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members of groups with ``differences``, the shingles that just one of their set and their group's centre has.
+
+    The centre of a group of LARGE members or more is what more than half of them have; smaller groups have
+    an empty one. Also ``excess``, (100 + percent) * number of differences - (100 - percent) * n_shingles: two
+    members are similar enough just if the differences both have, 2 * (100 + percent) times, come up to the sum
+    of their excesses.
+    """
+    large = members.groupBy("grp").agg(F.count("*").alias("members")).where(F.col("members") >= LARGE)
+    each = _opened(members.join(large, "grp").join(sets, "node"), "shingles", "grp")
+    common = each.groupBy("grp", "item").agg(F.count("*").alias("n")).join(large, "grp").where("2 * n > members")
+    # No centre has more than twice the shingles of its members' average set.
+    centres = keep(common.groupBy("grp").agg(F.array_sort(F.collect_list("item")).alias("centre")), "centres")
+    joined = members.join(sets, "node").join(centres, "grp", "left").select(
+        "node", "root", "grp", "n_shingles", "shingles", "centre")
+
+    def differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, sizes = [], []
+            for i in range(batch.num_rows):
+                own = batch.column(4)[i].as_py()
+                if batch.column(5)[i].is_valid:
+                    own = np.setxor1d(np.frombuffer(own, dtype=np.int64), batch.column(5)[i].values.to_numpy(),
+                                      assume_unique=True).tobytes()
+                found.append(own)
+                sizes.append(len(own) // 8)
+            excess = (100 + percent) * np.array(sizes, dtype=np.int64) - (100 - percent) * batch.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(excess, pa.int64()),
+                 pa.array(found, pa.binary())], names=["node", "root", "grp", "size", "excess", "differences"])
+
+    return keep(joined.mapInArrow(
+        differing, "node long, root long, grp long, size long, excess long, differences binary"), "differences")
 
-    each = _full_sets(nodes, docs, classes, size, "last").mapInArrow(opened, "node long, shingle long")
-    shared = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    return each.join(shared, "shingle").groupBy("node").agg(F.count("*").alias("common"))
+
+def _apart(placed: DataFrame) -> DataFrame:
+    """Members of the lists in which more than one component is left."""
+    apart = placed.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return keep(placed.join(apart.select("item"), "item"), "placed")
+
+
+def _last_pairs(placed: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among which is every link still missing between members of one list.
+
+    Lists with members in common make a group. Two members of a group are similar enough just if they have
+    enough differences from its centre in common (:func:`_differences`). Of those that need none, all are linked
+    with the member of least excess. Of the others, the rarest differences are merged: two members that need
+    ``o`` in common share one that is among the first ``size - o + 1`` of both.
+    """
+    each = _opened(sets, "shingles")
+    shared = each.groupBy("item").agg(F.count("*").alias("n")).where("n > 1").select("item")
+    able = each.join(shared, "item").groupBy("node").agg(F.count("*").alias("common")).join(
+        classes.select("node", "n_shingles"), "node").where(100 * F.col("common") >= percent * F.col("n_shingles"))
+    placed = _apart(placed.join(keep(able.select("node", "n_shingles"), "able"), "node"))
+    groups = components(placed.select(F.col("hub").alias("a"), F.col("node").alias("b")), "groups")
+    members = keep(placed.select("node", "root", "n_shingles").distinct().join(
+        groups.withColumnRenamed("root", "grp"), "node"), "members")
+    found = _differences(members, sets, percent)
+
+    best = found.groupBy("grp").agg(F.min(F.struct("excess", "node", "root")).alias("best"))
+    best = best.select("grp", F.col("best.excess").alias("least"), F.col("best.node").alias("a"),
+                       F.col("best.root").alias("best_root"))
+    found = keep(found.join(best, "grp").withColumn("near", F.col("excess") + F.col("least") <= 0), "found")
+    near = found.where("near and root <> best_root").select("a", F.col("node").alias("b"))
+
+    # Pairs of two that are near their centre are settled; the others' excesses sum up to more than 0.
+    least = found.groupBy("grp").agg(F.min(F.when(~F.col("near"), F.col("excess"))).alias("least_far"))
+    step = 2 * (100 + percent)
+    items = _opened(found, "differences", "grp")
+    often = items.groupBy("grp", "item").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = items.join(often, ["grp", "item"]).groupBy("node").agg(
+        F.array_sort(F.collect_list(F.struct("n", "item"))).alias("items"))
+    ranked = found.drop("a", "best_root", "differences").join(least.where("least_far is not null"), "grp").join(ranked, "node")
+    # Differences that no other member has come first and are not sent.
+    alone = F.col("size") - F.size("items")
+    other = F.when(F.col("near"), F.col("least_far")).otherwise(F.col("least"))
+    first = F.greatest(F.lit(0), F.col("size") - F.ceil((F.col("excess") + other) / step) + 1 - alone).cast("int")
+    sent = keep(ranked.where(first > 0).select(
+        "node", "root", "grp", "near", "size", "excess", alone.alias("alone"),
+        F.posexplode(F.slice("items", F.lit(1), first)).alias("place", "i")).select(
+        "node", "root", "grp", "near", "excess", "size", F.col("i.item").alias("item"),
+        (F.col("alone") + F.col("place") + 1).alias("place")), "sent")
+    a, b = (sent.select("grp", "item", *[F.col(c).alias(f"{s}_{c}") for c in (
+        "node", "root", "near", "excess", "size", "place")]) for s in "ab")
+    need = F.ceil((F.col("a_excess") + F.col("b_excess")) / step)
+    far = a.where("not a_near").join(b, ["grp", "item"]).where(
+        (F.col("a_root") != F.col("b_root")) & (F.col("b_near") | (F.col("a_node") < F.col("b_node")))
+        & (need <= F.col("a_size") - F.col("a_place") + 1) & (need <= F.col("b_size") - F.col("b_place") + 1))
+    return near.union(far.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
 
 
 def near_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -241,22 +332,23 @@ def near_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
         "node", F.inline(F.slice("items", F.lit(1), prefix))), "lists")
     first = lists.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     agreed = keep(_agreeing(first, classes, percent, matches), "agreed")
-    links = _confirmed(agreed, docs, classes, size, percent, "first")
+
+    def sets_of(pairs: DataFrame, name: str) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return _full_sets(nodes, docs, classes, size, name)
+
+    links = _confirmed(agreed, sets_of(agreed, "first"), percent, "first")
     roots = components(links, "first")
 
     def still_apart(roots: DataFrame) -> DataFrame:
-        """Members of the lists in which more than one component is left."""
-        placed = lists.select("node", "item", "hub").join(roots, "node", "left").select(
-            "node", "item", "hub", F.coalesce("root", "node").alias("root"))
-        apart = placed.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        return keep(placed.join(apart.select("item"), "item"), "placed")
-
-    def linked(pairs: DataFrame, links: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        agreed = keep(_agreeing(pairs, classes, percent, matches), "agreed")
-        if not agreed.limit(1).count():
-            return links, roots
-        links = keep(links.union(_confirmed(agreed, docs, classes, size, percent, "more")), "links")
+        return _apart(lists.select("node", "item", "hub").join(roots, "node", "left").select(
+            "node", "item", "hub", F.coalesce("root", "node").alias("root")))
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def linked(more: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        links = keep(links.union(more), "links")
         return links, components(links, "all")
 
     for turn in range(HUB_ROUNDS):
@@ -265,19 +357,15 @@ def near_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
             F.xxhash64(F.lit(turn), "item", "node").alias("draw"), "node", "root")).alias("h")).select(
             "item", F.col("h.node").alias("b"), F.col("h.root").alias("root_b"))
         pairs = placed.join(drawn, "item").where("root <> root_b").select(F.col("node").alias("a"), "b")
-        links, roots = linked(pairs, links, roots)
+        agreed = keep(_agreeing(ordered(pairs), classes, percent, matches), "agreed")
+        if agreed.limit(1).count():
+            links, roots = linked(_confirmed(agreed, sets_of(agreed, "more"), percent, "more"), links)
 
     placed = still_apart(roots)
-    sizes = _common(placed.select("node").distinct(), docs, classes, size).join(
-        classes.select("node", "n_shingles"), "node")
-    placed = keep(placed.join(sizes, "node"), "placed")
-    a, b = placed.select("item", *[F.col(c).alias(f"a_{c}") for c in ("node", "root", "hub", "common", "n_shingles")]), \
-        placed.select("item", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "common", "n_shingles")])
-    most = F.least("a_common", "b_common")
-    across = a.join(b, "item").where(
-        (F.col("a_root") < F.col("b_root")) & (F.col("a_node") != F.col("a_hub")) & (F.col("b_node") != F.col("a_hub"))
-        & (100 * most >= percent * (F.col("a_n_shingles") + F.col("b_n_shingles") - most)))
-    links, roots = linked(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), links, roots)
+    if placed.limit(1).count():
+        sets = _full_sets(placed.select("node").distinct(), docs, classes, size, "last")
+        pairs = keep(ordered(_last_pairs(placed, sets, classes, percent)), "pairs")
+        links, roots = linked(_confirmed(pairs, sets, percent, "last"), links)
 
     named = signed.join(classes.select("set_key", "node"), "set_key", "left").join(roots, "node", "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("root", "node").alias("component"))
