@@ -13,8 +13,8 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tradeloom.llm import (
-    exact_dedup, mixing, near_dedup, packing, quality_ledger, secret_scan, substring_dedup, token_counts,
-    token_files, warc_files,
+    chunks, exact_dedup, mixing, near_dedup, packing, quality_ledger, secret_scan, substring_dedup,
+    token_counts, token_files, warc_files,
 )
 from tradeloom.llm import queries as q
 from tradeloom.llm.chunks import Encoder
@@ -466,6 +466,25 @@ PIECES = st.sampled_from([
     "<|endoftext|>", "<|", "|>", "\x1c", "\x85", "😀", "ſ", "\x00", "²", "aaaaaaa", "hello", "ing", "\r\n", "​", "﻿"])
 
 
+def test_encoder_splits_a_remembered_chunk_no_more(library, monkeypatch):
+    own = Encoder(q.tokenizer_file())
+    texts = ["One two, three! Cafe\u0301 don't x1", "a  b \n c ", " lead<|endoftext|> two, <|endoftext|>", "One ... q!? three!", ""]
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == ids
+
+    class Firsts:
+        findall = staticmethod(lambda text: pytest.fail(f"split again: {text!r}") if " " in text else [text])
+
+    monkeypatch.setattr(chunks, "PATTERN", Firsts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([texts[0], texts[3]])] == [ids[0], ids[3]]
+    monkeypatch.undo()
+    monkeypatch.setattr(chunks, "ENCODED", 1)
+    full = Encoder(q.tokenizer_file())
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in full.encode(texts)] == ids
+    assert len(full.chunks) == len(full.parts) == 1
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(PIECES, max_size=14).map("".join), max_size=6))
 def test_encoders_follow_the_library(library, texts):

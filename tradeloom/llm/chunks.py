@@ -11,7 +11,7 @@ import gc
 import json
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import regex
@@ -20,11 +20,13 @@ _SAFE = re.compile(r" (?<=\S )(?=\S)")
 #: The byte-level pattern that splits text before the merges (fixed value of the public vocabulary).
 PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Characters that byte-level vocabularies write otherwise.
-_OTHERS = re.compile(r"[^\x21-\x7e]")
-#: Pre-tokens that a worker remembers, the first it meets; longer ones are not remembered.
+#: Pre-tokens that a counting worker remembers, the first it meets; longer ones are not remembered.
 REMEMBERED = 120_000
+#: Chunks that an encoding worker remembers, and as many pre-tokens.
+ENCODED = 350_000
 LONG = 48
+#: Marks that make one pre-token behind a word, as many as there are.
+MARKS = ".,;:!?"
 #: Texts whose chunks are looked up together, and characters at most unless one text has more.
 TOGETHER, CHARACTERS = 3000, 10_000_000
 
@@ -108,8 +110,9 @@ def groups_of(texts: Iterable[str]) -> Iterator[list[str]]:
 class Encoder:
     """Ids of texts by the tokenizers library, as its ``encode(text, add_special_tokens=False)`` gives them.
 
-    Chunks not met before are split into pre-tokens and go through the library's model. A tokenizer
-    that is no plain byte-level BPE encodes whole texts.
+    Chunks not met before are split into pre-tokens, which go through the library's model; the first
+    chunks and pre-tokens are remembered for all later texts. A tokenizer that is no plain byte-level
+    BPE encodes whole texts.
     """
 
     def __init__(self, path: str):
@@ -125,65 +128,81 @@ class Encoder:
             and pre.get("use_regex") and not pre.get("add_prefix_space") and said["model"].get("dropout") is None
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"]
                         for t in said["added_tokens"]))
-        letters = byte_letters()
-        self.letters = {chr(b): c for b, c in enumerate(letters) if chr(b) != c}
+        self.letters = {b: c for b, c in enumerate(byte_letters()) if chr(b) != c}
         self.parts: dict[str, bytes] = {}
+        self.chunks = Chunks(self._chunk)
+        #: No special token is made of ASCII letters and marks alone.
+        self.plain = not any(t.isascii() and all(c.isalpha() or c in MARKS for c in t) for t in self.special)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _letter(self, found: re.Match) -> str:
-        char = found.group()
-        known = self.letters.get(char) if char.isascii() else None
-        return known or "".join(self.letters.get(chr(b), chr(b)) for b in char.encode())
-
-    def _parts(self, lists: list[list[str]]) -> dict[str, bytes]:
-        """Ids of each pre-token in the lists."""
-        found, new = {}, []
-        for part in set().union(*lists):
-            ids = self.parts.get(part)
-            if ids is None:
-                new.append(part)
-            else:
-                found[part] = ids
-        tokenize = self.model.tokenize
-        for part in new:
-            letters = "\u0120" + part[1:] if part[0] == " " else part
-            if not part.isascii() or not part.isprintable() or " " in letters:
-                letters = _OTHERS.sub(self._letter, part)
-            ids = array("I", [t.id for t in tokenize(letters)]).tobytes()
-            found[part] = ids
-            if len(self.parts) < REMEMBERED and len(part) <= LONG:
+    def _part(self, part: str) -> bytes:
+        """Ids of a pre-token."""
+        ids = self.parts.get(part)
+        if ids is None:
+            letters = "\u0120" + part[1:] if part[0] == " " and part.isascii() and part[1:].isalpha() else \
+                part.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if len(self.parts) < ENCODED and len(part) <= LONG:
                 self.parts[part] = ids
-        return found
+        return ids
+
+    def _parts(self, text: str) -> bytes:
+        """Ids of a first chunk, or of a later one with its space."""
+        for special in self.special:
+            if special in text:
+                return self.whole(text)
+        return b"".join(map(self._part, PATTERN.findall(text)))
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk after a space: most are one ASCII word with marks behind it at most, two pre-tokens."""
+        word = chunk.rstrip(MARKS)
+        if word.isalpha() and word.isascii() and self.plain:
+            ids = self._part(" " + word)
+            return ids if word == chunk else ids + self._part(chunk[len(word):])
+        if ragged(chunk):
+            raise NoCut
+        return self._parts(" " + chunk)
 
     @no_collector()
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if not self.cuts:
             return [self.whole(t) for t in texts]
-        after, wrong = distinct(texts)
-        odd = set(wrong)
-        if any(s in t for s in self.special for t in texts):
-            odd |= {c for c in after if any(s in c for s in self.special)}
-        found = {c: self.whole(" " + c) for c in odd}
-        plain = list(after - odd)
-        for at in range(0, len(plain), 50_000):
-            own = plain[at: at + 50_000]
-            lists = split_chunks(own)
-            ids = self._parts(lists)
-            for chunk, parts in zip(own, lists, strict=True):
-                found[chunk] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[p] for p in parts])
-        del after, plain
-        firsts, out = [], []
-        for text in texts:
-            first, rest = pieces(text, wrong)
-            firsts.append(first)
-            out.append(b"".join(map(found.__getitem__, rest)))
-        lists = [PATTERN.findall(first) for first in firsts]
-        ids = self._parts(lists)
-        return [(self.whole(first) if any(s in first for s in self.special) else b"".join([ids[p] for p in parts])) + rest
-                for first, parts, rest in zip(firsts, lists, out, strict=True)]
+        return [self._text(t) for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        first, *rest = text.split(" ")
+        if rest and first and first[-1].isspace():
+            return self._cut(text)
+        try:
+            return self._parts(first) + b"".join(map(self.chunks.__getitem__, rest))
+        except NoCut:
+            return self._cut(text)
+
+    def _cut(self, text: str) -> bytes:
+        """The ids of a text with spaces beside white space."""
+        first, *rest = cut(text)
+        return self._parts(first) + b"".join(
+            [self.whole(" " + c) if ragged(c) else self.chunks[c] for c in rest])
+
+
+class NoCut(Exception):
+    """A space that is no cut."""
+
+
+class Chunks(dict):
+    """Ids of chunks after a space; those not met before are worked out, the first ones are remembered."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make = make
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.make(chunk)
+        if len(self) < ENCODED and len(chunk) <= LONG:
+            self[chunk] = ids
+        return ids
 
 
 _ENCODERS: dict[str, Encoder] = {}
