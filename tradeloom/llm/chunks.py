@@ -23,7 +23,7 @@ PATTERN = regex.compile(
 #: Pre-tokens that a counting worker remembers, the first it meets; longer ones are not remembered.
 REMEMBERED = 120_000
 #: Chunks that an encoding worker remembers, and as many pre-tokens.
-ENCODED = 350_000
+ENCODED = 250_000
 LONG = 48
 #: Marks that make one pre-token behind a word, as many as there are.
 MARKS = ".,;:!?"
@@ -94,13 +94,13 @@ def no_collector() -> Iterator[None]:
             gc.enable()
 
 
-def groups_of(texts: Iterable[str]) -> Iterator[list[str]]:
-    """Texts by the TOGETHER."""
+def groups_of(texts: Iterable[str], together: int = TOGETHER, characters: int = CHARACTERS) -> Iterator[list[str]]:
+    """Texts by the ``together``, fewer where they have more than so many characters."""
     group, size = [], 0
     for text in texts:
         group.append(text)
         size += len(text)
-        if len(group) == TOGETHER or size > CHARACTERS:
+        if len(group) == together or size > characters:
             yield group
             group, size = [], 0
     if group:
@@ -137,13 +137,14 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _made(self, letters: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def _part(self, part: str) -> bytes:
         """Ids of a pre-token."""
         ids = self.parts.get(part)
         if ids is None:
-            letters = "\u0120" + part[1:] if part[0] == " " and part.isascii() and part[1:].isalpha() else \
-                part.encode().decode("latin-1").translate(self.letters)
-            ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            ids = self._made(part.encode().decode("latin-1").translate(self.letters))
             if len(self.parts) < ENCODED and len(part) <= LONG:
                 self.parts[part] = ids
         return ids
@@ -159,8 +160,9 @@ class Encoder:
         """Ids of a chunk after a space: most are one ASCII word with marks behind it at most, two pre-tokens."""
         word = chunk.rstrip(MARKS)
         if word.isalpha() and word.isascii() and self.plain:
-            ids = self._part(" " + word)
-            return ids if word == chunk else ids + self._part(chunk[len(word):])
+            if word == chunk:
+                return self._made("\u0120" + word)
+            return self.chunks[word] + self._part(chunk[len(word):])
         if ragged(chunk):
             raise NoCut
         return self._parts(" " + chunk)

@@ -31,6 +31,8 @@ LONGEST = 18
 END_ID = 0
 #: Ids coded or decoded together, unless one document has more.
 TOGETHER = 300_000
+#: Texts encoded together, and characters at most unless one text has more: few, for a worker's memory.
+ENCODED_TOGETHER = 300, 1_000_000
 
 
 def slices(counts: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -51,7 +53,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> D
         own = encoder(tokenizer)
         for batch in batches:
             at = 0
-            for group in groups_of(texts_of(batch.column(1))):
+            for group in groups_of(texts_of(batch.column(1)), *ENCODED_TOGETHER):
                 found = [x + end for x in own.encode(group)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(group)), pa.array([len(x) // 4 for x in found], pa.int64()),
