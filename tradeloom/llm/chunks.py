@@ -22,8 +22,13 @@ PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Pre-tokens that a counting worker remembers, the first it meets; longer ones are not remembered.
 REMEMBERED = 120_000
-#: Chunks that an encoding worker remembers, and as many pre-tokens.
+#: Chunks that an encoding worker remembers unless told otherwise, and a third as many pre-tokens.
+#: Half of them are remembered when they are first met, the others when they are met again.
 ENCODED = 250_000
+#: Places of the marks of what was met once (a power of two); of two that share a place, one passes for met before.
+PLACES = 1 << 22
+#: Letters below this one are white space, letters, digits or marks by every version of the pattern's tables.
+SETTLED = "\u0250"
 LONG = 48
 #: Marks that make one pre-token behind a word, as many as there are.
 MARKS = ".,;:!?"
@@ -110,14 +115,15 @@ def groups_of(texts: Iterable[str], together: int = TOGETHER, characters: int =
 class Encoder:
     """Ids of texts by the tokenizers library, as its ``encode(text, add_special_tokens=False)`` gives them.
 
-    Chunks not met before are split into pre-tokens, which go through the library's model; the first
-    chunks and pre-tokens are remembered for all later texts. A tokenizer that is no plain byte-level
-    BPE encodes whole texts.
+    Chunks not met before are split into pre-tokens, which go through the library's model; chunks and
+    pre-tokens that come again are remembered for all later texts, ``most`` chunks. A tokenizer that is no
+    plain byte-level BPE encodes whole texts.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
         from tokenizers import Tokenizer
 
+        most = most or ENCODED
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         said = json.loads(self.tokenizer.to_str())
@@ -129,8 +135,8 @@ class Encoder:
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"]
                         for t in said["added_tokens"]))
         self.letters = {b: c for b, c in enumerate(byte_letters()) if chr(b) != c}
-        self.parts: dict[str, bytes] = {}
-        self.chunks = Chunks(self._chunk)
+        self.parts = Remembered(self._part, max(1, most // 3))
+        self.chunks = Remembered(self._chunk, most)
         #: No special token is made of ASCII letters and marks alone.
         self.plain = not any(t.isascii() and all(c.isalpha() or c in MARKS for c in t) for t in self.special)
 
@@ -142,27 +148,22 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         """Ids of a pre-token."""
-        ids = self.parts.get(part)
-        if ids is None:
-            ids = self._made(part.encode().decode("latin-1").translate(self.letters))
-            if len(self.parts) < ENCODED and len(part) <= LONG:
-                self.parts[part] = ids
-        return ids
+        return self._made(part.encode().decode("latin-1").translate(self.letters))
 
     def _parts(self, text: str) -> bytes:
         """Ids of a first chunk, or of a later one with its space."""
         for special in self.special:
             if special in text:
                 return self.whole(text)
-        return b"".join(map(self._part, PATTERN.findall(text)))
+        return b"".join(map(self.parts.__getitem__, PATTERN.findall(text)))
 
     def _chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk after a space: most are one ASCII word with marks behind it at most, two pre-tokens."""
+        """Ids of a chunk after a space: most are one word with marks behind it at most, two pre-tokens."""
         word = chunk.rstrip(MARKS)
-        if word.isalpha() and word.isascii() and self.plain:
+        if word.isalpha() and self.plain and (word.isascii() or max(word) < SETTLED):
             if word == chunk:
-                return self._made("\u0120" + word)
-            return self.chunks[word] + self._part(chunk[len(word):])
+                return self._part(" " + word) if not word.isascii() else self._made("\u0120" + word)
+            return self.chunks[word] + self.parts[chunk[len(word):]]
         if ragged(chunk):
             raise NoCut
         return self._parts(" " + chunk)
@@ -194,27 +195,38 @@ class NoCut(Exception):
     """A space that is no cut."""
 
 
-class Chunks(dict):
-    """Ids of chunks after a space; those not met before are worked out, the first ones are remembered."""
+class Remembered(dict):
+    """Ids of chunks or pre-tokens; those not known are worked out, and up to ``most`` are kept."""
 
-    def __init__(self, make: Callable[[str], bytes]):
-        self.make = make
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most, self.at_once = make, most, -(-most // 2)
+        self.met = bytearray(PLACES)
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.make(chunk)
-        if len(self) < ENCODED and len(chunk) <= LONG:
-            self[chunk] = ids
+    def __missing__(self, key: str) -> bytes:
+        ids, known = self.make(key), len(self)
+        if known < self.most and len(key) <= LONG:
+            place = hash(key) & (PLACES - 1)
+            if known < self.at_once or self.met[place]:
+                self[key] = ids
+            else:
+                self.met[place] = 1
         return ids
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder(path: str, most: int = ENCODED) -> Encoder:
+    """The worker's encoder for a tokenizer file; it lives as long as the worker, or until :func:`forget`."""
+    if (path, most) not in _ENCODERS:
+        forget()
+        _ENCODERS[path, most] = Encoder(path, most)
+    return _ENCODERS[path, most]
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file; it lives as long as the worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def forget() -> None:
+    """Lets go of this worker's encoders: a worker outlives its stage, and other work needs the memory."""
+    _ENCODERS.clear()
 
 
 def texts_of(column) -> Iterator[str]:

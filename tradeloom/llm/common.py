@@ -46,13 +46,16 @@ def small(frame: DataFrame, most: int) -> bool:
     return frame.limit(most + 1).count() <= most
 
 
-def stamped(frame: DataFrame, order: list[str], size: str, before: str) -> DataFrame:
+def stamped(
+    frame: DataFrame, order: list[str], size: str, before: str, ranges: list[str | Column] | None = None
+) -> DataFrame:
     """Rows dealt by ranges of ``order`` and sorted, with ``_part`` and in ``before`` the sum of ``size`` so far in it.
 
-    Nulls come first; equal keys get distinct, adjoining places. Store it before use, so that the
-    sums belong to one dealing of the rows, and read it through :func:`settled`.
+    ``ranges`` are shorter keys to deal by, in the same order. Nulls come first; equal keys get distinct,
+    adjoining places. Store it before use, so that the sums belong to one dealing of the rows, and read
+    it through :func:`settled`.
     """
-    dealt = frame.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    dealt = frame.repartitionByRange(*(ranges or order)).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
     schema = T.StructType([*dealt.schema.fields, T.StructField(before, T.LongType())])
     place = dealt.columns.index(size)
 
@@ -82,25 +85,30 @@ def settled(stored: DataFrame, size: str, before: str) -> DataFrame:
     )
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
+def components(edges: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows (node, root), root the smallest node; only nodes with an edge.
 
     Each round hooks every node to its smallest neighbour, jumps pointers to the roots and contracts
     the edges, so at least half of the nodes go in each round. Hot nodes are merged map-side.
+    ``files`` bounds the tasks that store a step, and so its files; it must grow with the edges.
     """
     spark = edges.sparkSession
-    edges = keep(edges.select("a", "b").where("a <> b").distinct(), f"{name}-edges")
+
+    def kept(frame: DataFrame, step: str) -> DataFrame:
+        return keep(frame.coalesce(files) if files else frame, f"{name}-{step}")
+
+    edges = kept(edges.select("a", "b").where("a <> b").distinct(), "edges")
     roots = None
     while edges.limit(1).count():
         both = edges.union(edges.select("b", "a"))
         hooks = both.groupBy("a").agg(F.min("b").alias("b")).select(
             F.col("a").alias("node"), F.least("a", "b").alias("root"))
-        hooks = keep(hooks, f"{name}-hooks")
+        hooks = kept(hooks, "hooks")
         while True:
             up = hooks.select(F.col("node").alias("root"), F.col("root").alias("upper"))
-            jumped = keep(hooks.join(up, "root", "left").select(
+            jumped = kept(hooks.join(up, "root", "left").select(
                 "node", F.coalesce("upper", "root").alias("root"), (F.col("upper") < F.col("root")).alias("moved")),
-                f"{name}-jumped")
+                "jumped")
             moved = jumped.where("moved").limit(1).count()
             hooks = jumped.drop("moved")
             if not moved:
@@ -109,12 +117,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             roots = hooks
         else:
             up = hooks.select(F.col("node").alias("root"), F.col("root").alias("upper"))
-            roots = keep(roots.join(up, "root", "left").select("node", F.coalesce("upper", "root").alias("root")),
-                         f"{name}-roots")
+            roots = kept(roots.join(up, "root", "left").select("node", F.coalesce("upper", "root").alias("root")),
+                         "roots")
         to = hooks.select(F.col("node"), F.col("root"))
-        edges = keep(
+        edges = kept(
             edges.join(to.withColumnsRenamed({"node": "a", "root": "ra"}), "a")
             .join(to.withColumnsRenamed({"node": "b", "root": "rb"}), "b")
             .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).where("a <> b").distinct(),
-            f"{name}-edges")
+            "edges")
     return roots if roots is not None else spark.createDataFrame([], "node long, root long")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import keep
-from tradeloom.llm.token_files import END_ID, tokenized
+from tradeloom.llm.token_files import END_ID, encoded
 
 CAPACITY = 2048
 #: A kind of sequence: (length, how many of it) pairs; and how many such sequences.
@@ -173,9 +173,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, task = Counter(), TaskContext.get().partitionId()
-        for batch in batches:
+        for batch, found in encoded(batches, tokenizer, END_ID):
             rows: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), found, strict=True):
                 n = len(ids) // 4
                 stops = [*range(n % capacity or capacity, n, capacity), n] if n > capacity else [n]
                 start = 0
@@ -189,8 +189,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)][: len(names)], names=names)
 
-    ids = tokenized(docs, tokenizer, END_ID).select("doc_id", "ids")
-    return ids.mapInArrow(cut, fields + ", ids binary" * with_ids)
+    # Encoded and cut in one: with two Python stages each task has two workers, and all come to hold an encoder.
+    return docs.select("doc_id", "text").mapInArrow(cut, fields + ", ids binary" * with_ids)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

@@ -1,7 +1,7 @@
 """Token ids of documents in compressed files: canonical, length-limited Huffman codes.
 
-Writing: ids are made once and kept; one global count of ids gives code lengths (package-merge), so
-every file shares one code table. Each document becomes a row whose bits start at a byte, with a bit
+Writing: ids are made once and kept, counted as they are made; one global count gives code lengths
+(package-merge), so every file shares one code table. Each document becomes a row whose bits start at a byte, with a bit
 offset every ``BLOCK`` ids; a reader can decode each block alone. Rows lie in files by ascending
 doc_id. Reading decodes many blocks in step, one table look-up a code.
 
@@ -22,45 +22,82 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm.chunks import encoder, groups_of, texts_of
+from tradeloom.llm.chunks import ENCODED, encoder, groups_of, texts_of
 from tradeloom.llm.common import keep, settled, stamped
 
 BLOCK = 512
 #: Longest code, raised only where the number of different ids needs more; a decoding table has two to this entries.
 LONGEST = 18
 END_ID = 0
-#: Ids coded or decoded together, unless one document has more.
-TOGETHER = 300_000
+#: Ids coded, and ids decoded together, unless one document has more.
+TOGETHER, DECODED_TOGETHER = 60_000, 600_000
+#: Chunks that a worker remembers while token files are written.
+REMEMBERED = 700_000
+#: Bytes of a document's bits by which rows are dealt, and by which equal keys are told apart.
+DEALT_BY = 32
 #: Texts encoded together, and characters at most unless one text has more: few, for a worker's memory.
 ENCODED_TOGETHER = 300, 1_000_000
 
 
-def slices(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+def slices(counts: np.ndarray, together: int) -> Iterator[tuple[int, int]]:
     """First row and number of rows of stretches with few ids in all."""
     upto, at = np.cumsum(counts), 0
     while at < len(counts):
         before = upto[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(upto, before + TOGETHER, side="right")))
+        stop = max(at + 1, int(np.searchsorted(upto, before + together, side="right")))
         yield at, stop - at
         at = stop
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID) -> DataFrame:
-    """doc_id, n_tokens and ``ids``, the ids as little-endian unsigned 32-bit integers; ``end_id`` after each text."""
+def encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int | None = END_ID,
+            most: int = ENCODED) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Few rows at a time with the ids of each one's text (second column) as little-endian unsigned 32-bit integers."""
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+    own = encoder(tokenizer, most)
+    for batch in batches:
+        at = 0
+        for group in groups_of(texts_of(batch.column(1)), *ENCODED_TOGETHER):
+            yield batch.slice(at, len(group)), [x + end for x in own.encode(group)]
+            at += len(group)
+
+
+def narrowed(ids: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The ids of each document, in 16 bits each if they all fit, and how often each id occurs."""
+    stream = np.frombuffer(b"".join(ids), dtype="<u4")
+    counts = np.bincount(stream)
+    if len(counts) > 1 << 16:
+        return ids, counts
+    raw, stops = stream.astype("<u2").tobytes(), np.cumsum([len(x) // 2 for x in ids]).tolist()
+    return [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)], counts
+
+
+def widened(ids: list[bytes], counts: np.ndarray) -> np.ndarray:
+    """The ids of documents one after another; ``counts`` has how many each has, in 16 or 32 bits each."""
+    raw, n = b"".join(ids), int(counts.sum())
+    if len(raw) in (2 * n, 4 * n):
+        return np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * n else "<u4")
+    return np.concatenate([np.frombuffer(x, dtype="<u2" if len(x) == 2 * k else "<u4")
+                           for x, k in zip(ids, counts.tolist(), strict=True)])
 
-    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
-        for batch in batches:
-            at = 0
-            for group in groups_of(texts_of(batch.column(1)), *ENCODED_TOGETHER):
-                found = [x + end for x in own.encode(group)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(group)), pa.array([len(x) // 4 for x in found], pa.int64()),
-                     pa.array(found, pa.binary())], names=["doc_id", "n_tokens", "ids"])
-                at += len(group)
 
-    return docs.select("doc_id", "text").mapInArrow(ids, "doc_id long, n_tokens long, ids binary")
+def _counted(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
+    """doc_id, n_tokens, ids (:func:`narrowed`); each task's last row has ``counts`` alone, how often it met each id."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n_tokens", "ids", "counts"]
+        total = np.zeros(0, dtype=np.int64)
+        for rows, ids in encoded(batches, tokenizer, end_id, REMEMBERED):
+            found, counts = narrowed(ids)
+            total = np.pad(total, (0, max(0, len(counts) - len(total))))
+            total[: len(counts)] += counts
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(found, pa.binary()),
+                 pa.nulls(len(ids), pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+             pa.array([total.tobytes()], pa.binary())], names=names)
+
+    return docs.select("doc_id", "text").mapInArrow(counted, "doc_id long, n_tokens long, ids binary, counts binary")
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -158,27 +195,23 @@ class CodeTable:
         return np.split(out, np.cumsum(counts)[:-1])
 
 
-def _counts(ids: DataFrame) -> DataFrame:
-    """How often each id occurs, merged within tasks; as many rows as different ids."""
+def _counts(made: DataFrame) -> DataFrame:
+    """How often each id occurs; as many rows as different ids."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                stream = b"".join(batch.column(0).slice(at, 100).to_pylist())
-                found = np.bincount(np.frombuffer(stream, dtype="<u4"))
-                if len(found) > len(total):
-                    total = np.pad(total, (0, len(found) - len(total)))
-                total[: len(found)] += found
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+            for counts in batch.column(0).to_pylist():
+                total = np.frombuffer(counts, dtype=np.int64)
+                seen = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["id", "n"])
 
-    return ids.select("ids").mapInArrow(counted, "id long, n long").groupBy("id").agg({"n": "sum"}).toDF("id", "n")
+    rows = made.where("counts is not null").select("counts")
+    return rows.mapInArrow(opened, "id long, n long").groupBy("id").agg({"n": "sum"}).toDF("id", "n")
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = END_ID) -> None:
     spark = docs.sparkSession
-    made = keep(tokenized(docs, tokenizer, end_id), "ids")
+    made = keep(_counted(docs, tokenizer, end_id), "ids")
     counts = _counts(made).toPandas().sort_values("id")  # bounded by the vocabulary
     ids = counts["id"].to_numpy(dtype=np.int64)
     lengths = code_lengths(counts["n"].to_numpy(dtype=np.int64))
@@ -190,16 +223,18 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         table = CodeTable(ids, lengths)
         for batch in batches:
             counts = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            for at, rows in slices(counts):
+            for at, rows in slices(counts, TOGETHER):
                 part, n = batch.slice(at, rows), counts[at: at + rows]
-                stream = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype="<u4")
-                payloads, offsets = table.encode(stream, n)
+                payloads, offsets = table.encode(widened(part.column(2).to_pylist(), n), n)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(payloads, pa.binary()),
                      pa.array(offsets, pa.list_(pa.int32()))], names=["doc_id", "n_tokens", "bits", "blocks"])
 
-    rows = made.mapInArrow(coded, "doc_id long, n_tokens long, bits binary, blocks array<int>")
-    stamped(rows, ["doc_id", "n_tokens", "bits"], "n_tokens", "start").write.parquet(f"{folder}/ids")
+    rows = made.where("counts is null").select("doc_id", "n_tokens", "ids").mapInArrow(
+        coded, "doc_id long, n_tokens long, bits binary, blocks array<int>")
+    # Stored, for Spark draws the bounds of the ranges in a run of its own; keys of few bytes, for those go to the driver.
+    stamped(keep(rows, "coded"), ["doc_id", "n_tokens", "bits"], "n_tokens", "start",
+            ["doc_id", "n_tokens", F.substring("bits", 1, DEALT_BY)]).write.parquet(f"{folder}/ids")
     spark.createDataFrame([(1, BLOCK)], "version int, block int").coalesce(1).write.parquet(f"{folder}/about")
 
 
@@ -216,7 +251,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         table = CodeTable(ids, lengths)
         for batch in batches:
             counts = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            for at, rows in slices(counts):
+            for at, rows in slices(counts, DECODED_TOGETHER):
                 part = batch.slice(at, rows)
                 found = table.decode(
                     part.column(3).to_pylist(), counts[at: at + rows],
