@@ -3,10 +3,13 @@
 import random
 import re
 
+import numpy as np
 import zstandard
+from pyspark.sql import functions as F
 
 from tests.llm import brute
-from tradeloom.llm import secret_scan, substring_dedup, warc_files
+from tradeloom.llm import chunks, near_dedup, packing, secret_scan, substring_dedup, token_files, warc_files
+from tradeloom.llm import queries as q
 from tradeloom.llm.common import new_folder
 
 OPENSSH = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW"
@@ -86,3 +89,76 @@ def test_shards_are_cut_within_a_page_id(spark):
         assert sorted(map(str, (r.page_id for r in got.collect()))) == sorted(str(p) for p, _, _ in rows)
         assert got.where("record_type = 'response'").count() == 300
     assert made[0] == made[1]
+
+
+def test_encoding_and_cutting_take_one_python_stage(spark):
+    """Two Python stages in a task need two workers, each of which comes to hold an encoder."""
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = packing.pieces(docs, q.tokenizer_file())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_near_dedup_steps_write_few_files(spark, monkeypatch):
+    """The files of a step follow the documents, not the shuffle partitions, and no link is lost by it."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base, f"x{i}"] if i % 2 else [f"y{i}-{j}" for j in range(20)])) for i in range(300)]
+    kept, files = near_dedup.keep, {}
+
+    def seen(frame, name):
+        out = kept(frame, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "keep", seen)
+    monkeypatch.setattr(near_dedup, "A_FILE", 100)
+    most = max(3, spark.sparkContext.defaultParallelism)
+    known = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 4 * most)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = near_dedup.near_components(docs := spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        for k, v in known.items():
+            spark.conf.set(k, v)
+    assert docs.count() == len(got)
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, 1 if i % 2 else i) for i, _ in rows}
+    assert {"classes", "lists", "agreed"} < files.keys()
+    assert max(n for name, n in files.items() if name != "signed") <= most
+
+
+def test_remembered_chunks_come_twice():
+    """Beyond the first half, what is met once takes no place."""
+    made = []
+    known = chunks.Remembered(lambda k: made.append(k) or k.encode(), 4)
+    assert [known[k] for k in "abcdcdcef"] == [k.encode() for k in "abcdcdcef"]
+    assert sorted(known) == ["a", "b", "c", "d"] and made == list("abcdcdef")
+
+
+def test_stored_ids_are_narrow_where_they_fit():
+    small, large = [np.array(x, "<u4").tobytes() for x in ([1, 65535], [])], [np.array([70000, 2], "<u4").tobytes()]
+    ids, counts = token_files.narrowed(small)
+    assert [len(x) for x in ids] == [4, 0] and counts[65535] == 1 and len(counts) == 65536
+    wide, _ = token_files.narrowed(large)
+    assert token_files.widened([*ids, *wide], np.array([2, 0, 2])).tolist() == [1, 65535, 70000, 2]
+    assert token_files.widened(ids, np.array([2, 0])).tolist() == [1, 65535]
+
+
+def test_token_files_encode_once_and_code_once(spark, tmp_path, monkeypatch):
+    """The bounds of the ranges are drawn from stored rows, and by keys that stay short."""
+    seen = []
+    dealt = token_files.stamped
+
+    def watched(frame, order, size, before, ranges=None):
+        seen.append((frame, ranges))
+        return dealt(frame, order, size, before, ranges)
+
+    monkeypatch.setattr(token_files, "stamped", watched)
+    rows = [(i // 3 if i % 5 else None, f"text {i} " * (i % 7)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    token_files.write_token_files(docs, str(tmp_path / "t"), q.tokenizer_file())
+    (frame, ranges), = seen
+    assert "MapInArrow" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert frame.select(F.max(F.length(ranges[-1]))).head()[0] <= token_files.DEALT_BY
+    got = token_files.read_token_files(spark, str(tmp_path / "t")).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.chunks import groups_of
+from tradeloom.llm.chunks import forget, groups_of, texts_of
 from tradeloom.llm.common import components, keep, text_of
 from tradeloom.llm.substring_dedup import Hasher, Words, mixed
 
@@ -48,6 +48,11 @@ KEYS = 1_000_000
 HUB_ROUNDS = 2
 #: Members from which a group has a centre.
 LARGE = 16
+#: Texts whose sets are made together, and characters at most unless one text has more: few, for a worker's memory.
+TOGETHER = 500, 2_000_000
+#: Documents for each file of a step's table: steps are many and their tables small, and a file costs its
+#: executor more than the rows of a shuffle partition that is nearly empty.
+A_FILE = 10_000
 
 _SEEDS = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -75,6 +80,11 @@ def matches_for(percent: int) -> int:
     return matches
 
 
+def _kept(frame: DataFrame, name: str, files: int) -> DataFrame:
+    """The frame stored by as many tasks, and so in as many files; ``files`` grows with the documents."""
+    return keep(frame.coalesce(files), name)
+
+
 def _sets(texts: list[str], size: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each text, one after another and sorted within the text, and how many each has."""
     words = Words([b" ".join(t.encode().translate(_LOWER).split()) for t in texts], hasher)
@@ -105,10 +115,11 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
     schema = "doc_id long, text_key long, n_shingles long, set_key binary, signature binary"
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hasher = Hasher()
         for batch in batches:
             done = 0
-            for group in groups_of(v or "" for v in batch.column(2).to_pylist()):
+            for group in groups_of(texts_of(batch.column(2)), *TOGETHER):
                 shingle, number = _sets(group, size, hasher)
                 keys, signatures = [None] * len(group), [None] * len(group)
                 full = np.flatnonzero(number).tolist()
@@ -158,19 +169,22 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, percent: int, matches: int)
     return joined.mapInArrow(agreeing, "a long, b long")
 
 
-def _full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int, name: str) -> DataFrame:
+def _full_sets(
+    nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int, name: str, files: int
+) -> DataFrame:
     """node and ``shingles``, its full set as sorted 64-bit numbers, made anew from one text of each class."""
-    wanted = keep(nodes.join(classes, "node").select("node", "rep_id", "rep_key"), f"{name}-wanted")
+    wanted = _kept(nodes.join(classes, "node").select("node", "rep_id", "rep_key"), f"{name}-wanted", files)
     if wanted.limit(KEYS + 1).count() <= KEYS:
         wanted = F.broadcast(wanted)
     texts = docs.select("doc_id", F.xxhash64(text_of()).alias("text_key"), "text").join(
         wanted, (F.col("text_key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("rep_id")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hasher = Hasher()
         for batch in batches:
             done = 0
-            for group in groups_of(v or "" for v in batch.column(1).to_pylist()):
+            for group in groups_of(texts_of(batch.column(1)), *TOGETHER):
                 shingle, number = _sets(group, size, hasher)
                 ends = (8 * np.cumsum(number)).tolist()
                 raw = shingle.tobytes()
@@ -182,10 +196,10 @@ def _full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
 
     # A row that repeats id and text makes the same set again; one of them is enough.
     made = texts.select("node", "text").mapInArrow(sets, "node long, shingles binary")
-    return keep(made.groupBy("node").agg(F.first("shingles").alias("shingles")), f"{name}-sets")
+    return _kept(made.groupBy("node").agg(F.first("shingles").alias("shingles")), f"{name}-sets", files)
 
 
-def _confirmed(pairs: DataFrame, made: DataFrame, percent: int, name: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, made: DataFrame, percent: int, name: str, files: int) -> DataFrame:
     """The pairs whose full shingle sets, given in ``made``, are similar enough."""
     joined = pairs.join(made.withColumnsRenamed({"node": "a", "shingles": "s_a"}), "a").join(
         made.withColumnsRenamed({"node": "b", "shingles": "s_b"}), "b").select("a", "b", "s_a", "s_b")
@@ -199,7 +213,7 @@ def _confirmed(pairs: DataFrame, made: DataFrame, percent: int, name: str) -> Da
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    return keep(joined.mapInArrow(similar, "a long, b long"), f"{name}-links")
+    return _kept(joined.mapInArrow(similar, "a long, b long"), f"{name}-links", files)
 
 
 def _opened(sets: DataFrame, column: str, more: str = "") -> DataFrame:
@@ -217,7 +231,7 @@ def _opened(sets: DataFrame, column: str, more: str = "") -> DataFrame:
     return sets.select(*names, column).mapInArrow(opened, "".join(f"{n} long, " for n in names) + "item long")
 
 
-def _differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _differences(members: DataFrame, sets: DataFrame, percent: int, files: int) -> DataFrame:
     """Members of groups with ``differences``, the shingles that just one of their set and their group's centre has.
 
     The centre of a group of LARGE members or more is what more than half of them have; smaller groups have
@@ -229,7 +243,7 @@ def _differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     each = _opened(members.join(large, "grp").join(sets, "node"), "shingles", "grp")
     common = each.groupBy("grp", "item").agg(F.count("*").alias("n")).join(large, "grp").where("2 * n > members")
     # No centre has more than twice the shingles of its members' average set.
-    centres = keep(common.groupBy("grp").agg(F.array_sort(F.collect_list("item")).alias("centre")), "centres")
+    centres = _kept(common.groupBy("grp").agg(F.array_sort(F.collect_list("item")).alias("centre")), "centres", files)
     joined = members.join(sets, "node").join(centres, "grp", "left").select(
         "node", "root", "grp", "n_shingles", "shingles", "centre")
 
@@ -248,17 +262,17 @@ def _differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                 [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(excess, pa.int64()),
                  pa.array(found, pa.binary())], names=["node", "root", "grp", "size", "excess", "differences"])
 
-    return keep(joined.mapInArrow(
-        differing, "node long, root long, grp long, size long, excess long, differences binary"), "differences")
+    return _kept(joined.mapInArrow(
+        differing, "node long, root long, grp long, size long, excess long, differences binary"), "differences", files)
 
 
-def _apart(placed: DataFrame) -> DataFrame:
+def _apart(placed: DataFrame, files: int) -> DataFrame:
     """Members of the lists in which more than one component is left."""
     apart = placed.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return keep(placed.join(apart.select("item"), "item"), "placed")
+    return _kept(placed.join(apart.select("item"), "item"), "placed", files)
 
 
-def _last_pairs(placed: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _last_pairs(placed: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, files: int) -> DataFrame:
     """Pairs (a, b) of different components among which is every link still missing between members of one list.
 
     Lists with members in common make a group. Two members of a group are similar enough just if they have
@@ -270,16 +284,16 @@ def _last_pairs(placed: DataFrame, sets: DataFrame, classes: DataFrame, percent:
     shared = each.groupBy("item").agg(F.count("*").alias("n")).where("n > 1").select("item")
     able = each.join(shared, "item").groupBy("node").agg(F.count("*").alias("common")).join(
         classes.select("node", "n_shingles"), "node").where(100 * F.col("common") >= percent * F.col("n_shingles"))
-    placed = _apart(placed.join(keep(able.select("node", "n_shingles"), "able"), "node"))
-    groups = components(placed.select(F.col("hub").alias("a"), F.col("node").alias("b")), "groups")
-    members = keep(placed.select("node", "root", "n_shingles").distinct().join(
-        groups.withColumnRenamed("root", "grp"), "node"), "members")
-    found = _differences(members, sets, percent)
+    placed = _apart(placed.join(_kept(able.select("node", "n_shingles"), "able", files), "node"), files)
+    groups = components(placed.select(F.col("hub").alias("a"), F.col("node").alias("b")), "groups", files)
+    members = _kept(placed.select("node", "root", "n_shingles").distinct().join(
+        groups.withColumnRenamed("root", "grp"), "node"), "members", files)
+    found = _differences(members, sets, percent, files)
 
     best = found.groupBy("grp").agg(F.min(F.struct("excess", "node", "root")).alias("best"))
     best = best.select("grp", F.col("best.excess").alias("least"), F.col("best.node").alias("a"),
                        F.col("best.root").alias("best_root"))
-    found = keep(found.join(best, "grp").withColumn("near", F.col("excess") + F.col("least") <= 0), "found")
+    found = _kept(found.join(best, "grp").withColumn("near", F.col("excess") + F.col("least") <= 0), "found", files)
     near = found.where("near and root <> best_root").select("a", F.col("node").alias("b"))
 
     # Pairs of two that are near their centre are settled; the others' excesses sum up to more than 0.
@@ -294,11 +308,11 @@ def _last_pairs(placed: DataFrame, sets: DataFrame, classes: DataFrame, percent:
     alone = F.col("size") - F.size("items")
     other = F.when(F.col("near"), F.col("least_far")).otherwise(F.col("least"))
     first = F.greatest(F.lit(0), F.col("size") - F.ceil((F.col("excess") + other) / step) + 1 - alone).cast("int")
-    sent = keep(ranked.where(first > 0).select(
+    sent = _kept(ranked.where(first > 0).select(
         "node", "root", "grp", "near", "size", "excess", alone.alias("alone"),
         F.posexplode(F.slice("items", F.lit(1), first)).alias("place", "i")).select(
         "node", "root", "grp", "near", "excess", "size", F.col("i.item").alias("item"),
-        (F.col("alone") + F.col("place") + 1).alias("place")), "sent")
+        (F.col("alone") + F.col("place") + 1).alias("place")), "sent", files)
     a, b = (sent.select("grp", "item", *[F.col(c).alias(f"{s}_{c}") for c in (
         "node", "root", "near", "excess", "size", "place")]) for s in "ab")
     need = F.ceil((F.col("a_excess") + F.col("b_excess")) / step)
@@ -315,12 +329,13 @@ def near_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     """
     matches = matches_for(percent)
     signed = keep(_signed(docs, size), "signed")
+    files = max(docs.sparkSession.sparkContext.defaultParallelism, -(-signed.count() // A_FILE))
     known = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     classes = signed.where("set_key is not null").groupBy("set_key").agg(
         F.min(known).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-    classes = keep(classes.select(
+    classes = _kept(classes.select(
         F.monotonically_increasing_id().alias("node"), "set_key", "n_shingles", "signature",
-        F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")), "classes")
+        F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")), "classes", files)
 
     # Only pairs that two classes share are merged; what a class has alone still counts in its prefix.
     posted = _postings(classes)
@@ -328,28 +343,28 @@ def near_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     items = F.array_sort(F.collect_list(F.struct("n", "item", "hub")))
     lists = posted.join(shared, "item").groupBy("node").agg(items.alias("items"))
     prefix = F.size("items") - (matches - 1)
-    lists = keep(lists.where(prefix > 0).select(
-        "node", F.inline(F.slice("items", F.lit(1), prefix))), "lists")
+    lists = _kept(lists.where(prefix > 0).select(
+        "node", F.inline(F.slice("items", F.lit(1), prefix))), "lists", files)
     first = lists.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    agreed = keep(_agreeing(first, classes, percent, matches), "agreed")
+    agreed = _kept(_agreeing(first, classes, percent, matches), "agreed", files)
 
     def sets_of(pairs: DataFrame, name: str) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        return _full_sets(nodes, docs, classes, size, name)
+        return _full_sets(nodes, docs, classes, size, name, files)
 
-    links = _confirmed(agreed, sets_of(agreed, "first"), percent, "first")
-    roots = components(links, "first")
+    links = _confirmed(agreed, sets_of(agreed, "first"), percent, "first", files)
+    roots = components(links, "first", files)
 
     def still_apart(roots: DataFrame) -> DataFrame:
         return _apart(lists.select("node", "item", "hub").join(roots, "node", "left").select(
-            "node", "item", "hub", F.coalesce("root", "node").alias("root")))
+            "node", "item", "hub", F.coalesce("root", "node").alias("root")), files)
 
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def linked(more: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        links = keep(links.union(more), "links")
-        return links, components(links, "all")
+        links = _kept(links.union(more), "links", files)
+        return links, components(links, "all", files)
 
     for turn in range(HUB_ROUNDS):
         placed = still_apart(roots)
@@ -357,20 +372,20 @@ def near_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
             F.xxhash64(F.lit(turn), "item", "node").alias("draw"), "node", "root")).alias("h")).select(
             "item", F.col("h.node").alias("b"), F.col("h.root").alias("root_b"))
         pairs = placed.join(drawn, "item").where("root <> root_b").select(F.col("node").alias("a"), "b")
-        agreed = keep(_agreeing(ordered(pairs), classes, percent, matches), "agreed")
+        agreed = _kept(_agreeing(ordered(pairs), classes, percent, matches), "agreed", files)
         if agreed.limit(1).count():
-            links, roots = linked(_confirmed(agreed, sets_of(agreed, "more"), percent, "more"), links)
+            links, roots = linked(_confirmed(agreed, sets_of(agreed, "more"), percent, "more", files), links)
 
     placed = still_apart(roots)
     if placed.limit(1).count():
-        sets = _full_sets(placed.select("node").distinct(), docs, classes, size, "last")
-        pairs = keep(ordered(_last_pairs(placed, sets, classes, percent)), "pairs")
-        links, roots = linked(_confirmed(pairs, sets, percent, "last"), links)
+        sets = _full_sets(placed.select("node").distinct(), docs, classes, size, "last", files)
+        pairs = _kept(ordered(_last_pairs(placed, sets, classes, percent, files)), "pairs", files)
+        links, roots = linked(_confirmed(pairs, sets, percent, "last", files), links)
 
     named = signed.join(classes.select("set_key", "node"), "set_key", "left").join(roots, "node", "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("root", "node").alias("component"))
-    smallest = keep(named.where("component is not null").groupBy("component").agg(
-        F.min("doc_id").alias("component_id")), "smallest")
+    smallest = _kept(named.where("component is not null").groupBy("component").agg(
+        F.min("doc_id").alias("component_id")), "smallest", files)
     return named.join(smallest, "component", "left").select(
         "doc_id", "text_key", "n_shingles", "component",
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
