@@ -162,3 +162,17 @@ def test_token_files_encode_once_and_code_once(spark, tmp_path, monkeypatch):
     got = token_files.read_token_files(spark, str(tmp_path / "t")).orderBy("start").collect()
     assert [r.doc_id for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
     assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
+
+
+def test_substring_dedup_hashes_few_texts_of_a_group_at_a_time():
+    """The arrays take many times the text they are made of: a whole group's took an executor over its memory."""
+    texts = [" ".join(f"w{(7 * i + j) % 5000}" for j in range(9000)) for i in range(60)] + ["", "short one"]
+    whole = substring_dedup.Words([t.encode() for t in texts], substring_dedup.Hasher())
+    first, count, text, low = substring_dedup._super_kmers(whole, substring_dedup.Hasher(), 35, 5)
+    want = list(zip((first - whole.start[text]).tolist(), count.tolist(), text.tolist(), low.tolist(), strict=True))
+    got, sizes = [], []
+    for at, words, first, count, text, low in substring_dedup._hashed(texts, substring_dedup.Hasher(), 35, 5):
+        sizes.append(len(words.raw))
+        got += zip((first - words.start[text]).tolist(), count.tolist(), (text + at).tolist(), low.tolist(), strict=True)
+    assert got == want
+    assert len(sizes) > 2 and max(sizes) <= substring_dedup.HASHED + max(map(len, texts)) + 1000

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.chunks import groups_of
+from tradeloom.llm.chunks import groups_of, texts_of
 from tradeloom.llm.common import keep, text_of
 
 WINDOW = 35
@@ -39,6 +39,10 @@ MINIMISER = 5
 BUCKET_BYTES = 6 << 20
 #: A bucket with so many times these bytes is dealt by single windows.
 HOT = 4
+#: Characters of the texts whose words are hashed together, unless one text has more: the arrays take many times that.
+HASHED = 1_000_000
+#: Packed rows that are opened together.
+OPENED = 100
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -127,18 +131,29 @@ def _super_kmers(words: Words, hasher: Hasher, window: int, minimiser: int) -> t
     return at[new], np.diff(np.append(new, len(at))), text[new], low[new]
 
 
+def _hashed(group: list[str], hasher: Hasher, window: int, minimiser: int) -> Iterator[tuple]:
+    """Number of the first text, the words and the super-k-mers of a few texts of a group at a time."""
+    at = 0
+    for some in groups_of(group, len(group), HASHED):
+        words = Words([b" ".join(t.encode().split()) for t in some], hasher)
+        yield at, words, *_super_kmers(words, hasher, window, minimiser)
+        at += len(some)
+
+
 def _loads(docs: DataFrame, buckets: int, window: int, minimiser: int) -> DataFrame:
     """Bytes that come to each bucket: bucket, ``held`` as super-k-mers, ``apart`` as single windows."""
     def loaded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held, apart = Hasher(), np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            for group in groups_of(v or "" for v in batch.column(0).to_pylist()):
-                words = Words([b" ".join(t.encode().split()) for t in group], hasher)
-                first, count, _, low = _super_kmers(words, hasher, window, minimiser)
-                last = first + count + window - 1
-                sole = np.sort(np.unique(hasher.stretches(words.hash, first, last), return_index=True)[1])
-                size = words.ends[last[sole] - 1] - words.starts[first[sole]]
-                bucket, n = (mixed(low[sole]) % np.uint64(buckets)).astype(np.int64), count[sole]
+            for group in groups_of(texts_of(batch.column(0))):
+                found = []
+                for _, words, first, count, _, low in _hashed(group, hasher, window, minimiser):
+                    last = first + count + window - 1
+                    found.append((hasher.stretches(words.hash, first, last), words.ends[last - 1] - words.starts[first],
+                                  (mixed(low) % np.uint64(buckets)).astype(np.int64), count))
+                key, size, bucket, n = (np.concatenate(c) for c in zip(*found, strict=True))
+                sole = np.unique(key, return_index=True)[1]
+                size, bucket, n = size[sole], bucket[sole], n[sole]
                 np.add.at(held, bucket, size)
                 np.add.at(apart, bucket, size * n * window // (n + window - 1))
         own = np.flatnonzero(held)
@@ -219,44 +234,45 @@ def _packed(docs: DataFrame, window: int, minimiser: int, bucket_bytes: int) ->
         for batch in batches:
             keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             done = 0
-            for group in groups_of(v or "" for v in batch.column(2).to_pylist()):
+            for group in groups_of(texts_of(batch.column(2))):
                 own = keys[done: done + len(group)]
                 done += len(group)
-                words = Words([b" ".join(t.encode().split()) for t in group], hasher)
-                first, count, text, low = _super_kmers(words, hasher, window, minimiser)
-                bucket = (mixed(low) % np.uint64(buckets)).astype(np.int64)
-                hot = ways[bucket] > 0
-                if hot.any():
-                    n = count[hot]
-                    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[hot], n)
-                    own_begin, own_ways = np.repeat(begin[bucket[hot]], n), np.repeat(ways[bucket[hot]], n)
-                    salt = mixed(hasher.stretches(words.hash, at, at + window)) % own_ways.astype(np.uint64)
-                    bucket = np.concatenate([bucket[~hot], own_begin + salt.astype(np.int64)])
-                    first, text = np.concatenate([first[~hot], at]), np.concatenate([text[~hot], np.repeat(text[hot], n)])
-                    count = np.concatenate([count[~hot], np.ones_like(at)])
-                seen: dict[bytes, list[int]] = {}
-                a, b = words.starts[first].tolist(), words.ends[first + count + window - 2].tolist()
-                for i, (x, y) in enumerate(zip(a, b, strict=True)):
-                    seen.setdefault(words.raw[x:y], []).append(i)
-                place = first - words.start[text]
+                #: Of each string its bucket and the text, first word and end of its places.
+                seen: dict[bytes, tuple[int, list[tuple[int, int, int]]]] = {}
+                for before, words, first, count, text, low in _hashed(group, hasher, window, minimiser):
+                    bucket = (mixed(low) % np.uint64(buckets)).astype(np.int64)
+                    hot = ways[bucket] > 0
+                    if hot.any():
+                        n = count[hot]
+                        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[hot], n)
+                        own_begin, own_ways = np.repeat(begin[bucket[hot]], n), np.repeat(ways[bucket[hot]], n)
+                        salt = mixed(hasher.stretches(words.hash, at, at + window)) % own_ways.astype(np.uint64)
+                        bucket = np.concatenate([bucket[~hot], own_begin + salt.astype(np.int64)])
+                        first, text = np.concatenate([first[~hot], at]), np.concatenate([text[~hot], np.repeat(text[hot], n)])
+                        count = np.concatenate([count[~hot], np.ones_like(at)])
+                    last = first + count + window - 2
+                    place = first - words.start[text]
+                    members = zip((text + before).tolist(), place.tolist(), (place + count + window - 1).tolist(), strict=True)
+                    for x, y, number, member in zip(
+                            words.starts[first].tolist(), words.ends[last].tolist(), bucket.tolist(), members, strict=True):
+                        seen.setdefault(words.raw[x:y], (number, []))[1].append(member)
                 by_bucket: dict[int, tuple[list, list]] = {}
                 local: dict[int, list[tuple[int, int]]] = {}
-                for string, members in seen.items():
-                    into = by_bucket.setdefault(int(bucket[members[0]]), ([], []))
+                for string, (number, members) in seen.items():
+                    into = by_bucket.setdefault(number, ([], []))
                     into[0].append(string)
-                    into[1].append(members[0] if len(members) == 1 else -1)
+                    into[1].append(members[0] if len(members) == 1 else None)
                     if len(members) > 1:
-                        for i in members:
-                            local.setdefault(int(text[i]), []).append(
-                                (int(place[i]), int(place[i] + count[i] + window - 1)))
+                        for t, a, b in members:
+                            local.setdefault(t, []).append((a, b))
                 rows = []
                 for number, (strings, members) in by_bucket.items():
-                    i = np.array(members, dtype=np.int64)
-                    ids = [own[text[m]] if m >= 0 else (0, 0) for m in members]
+                    ids = [own[m[0]] if m else (0, 0) for m in members]
                     rows.append((
                         number % parts, number, pack.compress(b"\n".join(strings)),
                         np.array([(d or 0, k, d is None) for d, k in ids], dtype=np.int64).tobytes(),
-                        place[i].astype(np.int32).tobytes(), (i < 0).tobytes(), None, None))
+                        np.array([m[1] if m else 0 for m in members], dtype=np.int32).tobytes(),
+                        np.array([m is None for m in members]).tobytes(), None, None))
                 for t, ranges in local.items():
                     d, k = own[t]
                     key = np.array([(d or 0, k, d is None)], dtype=np.int64).tobytes()
@@ -298,7 +314,8 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
             if known.num_rows:
                 keys = np.frombuffer(b"".join(known.column(3).to_pylist()), dtype=np.int64).reshape(-1, 3)
                 yield out(keys, known.column(6).to_numpy(), known.column(7).to_numpy())
-            for row in batch.filter(pc.not_equal(batch.column(1), -1)).to_pylist():
+            held = batch.filter(pc.not_equal(batch.column(1), -1))
+            for row in (r for at in range(0, held.num_rows, OPENED) for r in held.slice(at, OPENED).to_pylist()):
                 if row["bucket"] != bucket:
                     yield from finish()
                     places, bucket = {}, row["bucket"]
