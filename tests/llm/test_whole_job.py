@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
@@ -176,3 +177,23 @@ def test_substring_dedup_hashes_few_texts_of_a_group_at_a_time():
         got += zip((first - words.start[text]).tolist(), count.tolist(), (text + at).tolist(), low.tolist(), strict=True)
     assert got == want
     assert len(sizes) > 2 and max(sizes) <= substring_dedup.HASHED + max(map(len, texts)) + 1000
+
+
+def test_texts_in_a_stream_have_the_ids_of_the_library():
+    """A chunk that many texts have is looked up once for all of them; spaces beside white space are no cuts."""
+    rnd = random.Random(5)
+    bits = ["a", "Word", "é", "日本", "  ", " ", " ", " ", "\n", " \n", "'s", "1,2", "...", "　", "🙂", "", "<|endoftext|>"]
+    own = chunks.Encoder(q.tokenizer_file(), 300)
+    for trial in range(60):
+        texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 25))) for _ in range(rnd.randint(0, 12))]
+        texts = [None if rnd.random() < 0.1 else t for t in texts]
+        end = [b"", bytes(4)][trial % 2]
+        ids, counts = own.stream(pa.array(["before", *texts], pa.string()).slice(1), end)
+        want = [own.whole(t or "") + end for t in texts]
+        assert ids.astype("<u4").tobytes() == b"".join(want) and counts.tolist() == [len(x) // 4 for x in want]
+    looked_up = []
+    own.chunks.make = lambda c: looked_up.append(c) or own._chunk(c)
+    own.chunks.most = 0
+    own.chunks.clear()
+    own.stream(pa.array(["one xyzzy two xyzzy", "three xyzzy", "xyzzy xyzzy"]))
+    assert looked_up.count("xyzzy") == 1

@@ -14,6 +14,9 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 _SAFE = re.compile(r" (?<=\S )(?=\S)")
@@ -175,6 +178,51 @@ class Encoder:
             return [self.whole(t) for t in texts]
         return [self._text(t) for t in texts]
 
+    @no_collector()
+    def stream(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a column's texts (null: empty) one after another, ``end`` behind each, and how many each has.
+
+        They are those of :meth:`encode`; texts are cut and put together by Arrow, a chunk is looked up once for all.
+        """
+        if not self.cuts:
+            made = [self.whole(t) + end for t in texts_of(texts)]
+            return np.frombuffer(b"".join(made), dtype="<u4"), np.array([len(x) // 4 for x in made], dtype=np.int64)
+        split = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        n, begins, chunks = len(split), split.offsets.to_numpy(), split.values
+        later = np.ones(len(chunks), dtype=bool)
+        later[begins[:-1]] = False
+        own = chunks.filter(pa.array(later)).dictionary_encode()
+        firsts = chunks.take(pa.array(begins[:-1])).to_pylist()
+        distinct = own.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
+        ids, wrong = list(map(self.chunks.get, distinct)), []
+        for i in [i for i, x in enumerate(ids) if x is None]:
+            try:
+                ids[i] = self.chunks[distinct[i]]
+            except NoCut:
+                wrong.append(i)
+                ids[i] = b""
+        number, known = own.indices.to_numpy(), len(ids)
+        uncut = {i for i, first in enumerate(firsts) if first and first[-1].isspace() and begins[i + 1] > begins[i] + 1}
+        if wrong:
+            where = np.flatnonzero(later)[np.isin(number, wrong)]
+            uncut.update((np.searchsorted(begins, where, side="right") - 1).tolist())
+        # After the chunks' ids come those of each text's beginning, the end and nothing.
+        ids += [b"" if i in uncut else self._parts(first) for i, first in enumerate(firsts)]
+        ids += [end, b""]
+        bounds = begins.astype(np.int64) + np.arange(n + 1)
+        which = np.empty(len(chunks) + n, dtype=np.int64)
+        which[np.flatnonzero(later) + np.repeat(np.arange(n), np.diff(begins) - 1)] = number
+        which[bounds[:-1]] = known + np.arange(n)
+        which[bounds[1:] - 1] = known + n
+        for i in uncut:
+            ids[known + i] = self._cut(texts[i].as_py())
+            which[bounds[i] + 1: bounds[i + 1] - 1] = known + n + 1
+        found = pa.array(ids, pa.large_binary()).take(pa.array(which))
+        upto = np.frombuffer(found.buffers()[1], dtype=np.int64)[: len(which) + 1][bounds]
+        raw = found.buffers()[2]
+        stream = np.frombuffer(raw, dtype="<u4", count=int(upto[-1]) // 4) if upto[-1] else np.zeros(0, dtype="<u4")
+        return stream, np.diff(upto) // 4
+
     def _text(self, text: str) -> bytes:
         first, *rest = text.split(" ")
         if rest and first and first[-1].isspace():

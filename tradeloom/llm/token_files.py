@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ REMEMBERED = 700_000
 DEALT_BY = 32
 #: Texts encoded together, and characters at most unless one text has more: few, for a worker's memory.
 ENCODED_TOGETHER = 300, 1_000_000
+#: Bytes of the texts whose chunks are looked up together while token files are written, unless one text has more.
+STREAMED_TOGETHER = 8_000_000
 
 
 def slices(counts: np.ndarray, together: int) -> Iterator[tuple[int, int]]:
@@ -63,12 +66,18 @@ def encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int | Non
 
 def narrowed(ids: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """The ids of each document, in 16 bits each if they all fit, and how often each id occurs."""
-    stream = np.frombuffer(b"".join(ids), dtype="<u4")
+    found, counts = halved(np.frombuffer(b"".join(ids), dtype="<u4"), np.array([len(x) // 4 for x in ids], dtype=np.int64))
+    return found.to_pylist(), counts
+
+
+def halved(stream: np.ndarray, n_tokens: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """:func:`narrowed` of documents whose ids follow one another; ``n_tokens`` has how many each has."""
     counts = np.bincount(stream)
-    if len(counts) > 1 << 16:
-        return ids, counts
-    raw, stops = stream.astype("<u2").tobytes(), np.cumsum([len(x) // 2 for x in ids]).tolist()
-    return [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)], counts
+    raw = stream.astype("<u4" if len(counts) > 1 << 16 else "<u2")
+    stops = np.cumsum(np.concatenate([[0], n_tokens])) * raw.itemsize
+    ids = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(n_tokens), [None, pa.py_buffer(stops.astype(np.int64)), pa.py_buffer(raw)])
+    return ids.cast(pa.binary()), counts
 
 
 def widened(ids: list[bytes], counts: np.ndarray) -> np.ndarray:
@@ -81,18 +90,23 @@ def widened(ids: list[bytes], counts: np.ndarray) -> np.ndarray:
 
 
 def _counted(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
-    """doc_id, n_tokens, ids (:func:`narrowed`); each task's last row has ``counts`` alone, how often it met each id."""
+    """doc_id, n_tokens, ids (:func:`halved`); each task's last row has ``counts`` alone, how often it met each id."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_tokens", "ids", "counts"]
         total = np.zeros(0, dtype=np.int64)
-        for rows, ids in encoded(batches, tokenizer, end_id, REMEMBERED):
-            found, counts = narrowed(ids)
-            total = np.pad(total, (0, max(0, len(counts) - len(total))))
-            total[: len(counts)] += counts
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(found, pa.binary()),
-                 pa.nulls(len(ids), pa.binary())], names=names)
+        end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+        own = encoder(tokenizer, REMEMBERED)
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64) + 1
+            for at, rows in slices(sizes, STREAMED_TOGETHER):
+                stream, n_tokens = own.stream(batch.column(1).slice(at, rows), end)
+                ids, counts = halved(stream, n_tokens)
+                total = np.pad(total, (0, max(0, len(counts) - len(total))))
+                total[: len(counts)] += counts
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, rows), pa.array(n_tokens, pa.int64()), ids, pa.nulls(rows, pa.binary())],
+                    names=names)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
              pa.array([total.tobytes()], pa.binary())], names=names)
